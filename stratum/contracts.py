@@ -11,13 +11,17 @@ from dataclasses import dataclass, field
 @dataclass(frozen=True)
 class Contract:
     name: str
-    file: str
     schema: str                      # Spark DDL, e.g. "id STRING, ts TIMESTAMP"
     key: tuple[str, ...]
     owner: str
     pii: frozenset[str] = field(default_factory=frozenset)
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
+    @property
+    def file(self) -> str:
+        """Default raw file name, ``<name>.csv``; jobs accept a per-source override."""
+        return f"{self.name}.csv"
+
     @property
     def columns(self) -> list[tuple[str, str]]:
         """(name, type) pairs parsed from the DDL (flat schemas only, as all contracts are)."""
@@ -40,42 +44,42 @@ ORDER_STATUSES = ("created", "approved", "invoiced", "processing", "shipped", "d
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card", "not_defined")
 
 ORDERS = Contract(
-    "orders", "olist_orders_dataset.csv",
+    "orders",
     "order_id STRING, customer_id STRING, order_status STRING, order_purchase_timestamp TIMESTAMP, "
     "order_approved_at TIMESTAMP, order_delivered_carrier_date TIMESTAMP, "
     "order_delivered_customer_date TIMESTAMP, order_estimated_delivery_date TIMESTAMP",
     ("order_id",), "commerce", frozenset(), {"order_status": ORDER_STATUSES})
 ORDER_ITEMS = Contract(
-    "order_items", "olist_order_items_dataset.csv",
+    "order_items",
     "order_id STRING, order_item_id INT, product_id STRING, seller_id STRING, shipping_limit_date TIMESTAMP, "
     "price DOUBLE, freight_value DOUBLE",
     ("order_id", "order_item_id"), "commerce")
 CUSTOMERS = Contract(
-    "customers", "olist_customers_dataset.csv",
+    "customers",
     "customer_id STRING, customer_unique_id STRING, customer_zip_code_prefix STRING, customer_city STRING, "
     "customer_state STRING",
     ("customer_id",), "crm", frozenset({"customer_zip_code_prefix", "customer_city"}))
 SELLERS = Contract(
-    "sellers", "olist_sellers_dataset.csv",
+    "sellers",
     "seller_id STRING, seller_zip_code_prefix STRING, seller_city STRING, seller_state STRING",
     ("seller_id",), "marketplace", frozenset({"seller_zip_code_prefix"}))
 PRODUCTS = Contract(
-    "products", "olist_products_dataset.csv",
+    "products",
     "product_id STRING, product_category_name STRING, product_name_lenght INT, product_description_lenght INT, "
     "product_photos_qty INT, product_weight_g DOUBLE, product_length_cm DOUBLE, product_height_cm DOUBLE, "
     "product_width_cm DOUBLE",
     ("product_id",), "catalog")
 PAYMENTS = Contract(
-    "payments", "olist_order_payments_dataset.csv",
+    "payments",
     "order_id STRING, payment_sequential INT, payment_type STRING, payment_installments INT, payment_value DOUBLE",
     ("order_id", "payment_sequential"), "finance", frozenset(), {"payment_type": PAYMENT_TYPES})
 REVIEWS = Contract(
-    "reviews", "olist_order_reviews_dataset.csv",
+    "reviews",
     "review_id STRING, order_id STRING, review_score INT, review_comment_title STRING, "
     "review_comment_message STRING, review_creation_date TIMESTAMP, review_answer_timestamp TIMESTAMP",
     ("review_id", "order_id"), "cx", frozenset({"review_comment_title", "review_comment_message"}))
 CATEGORY_TRANSLATION = Contract(
-    "category_translation", "product_category_name_translation.csv",
+    "category_translation",
     "product_category_name STRING, product_category_name_english STRING",
     ("product_category_name",), "catalog")
 
