@@ -23,11 +23,16 @@ class TableStore:
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by: str | list[str] | None = None,
               mode: str = "overwrite") -> int:
-        """Overwrite (or append) the table; returns the rows written."""
+        """Overwrite (or append) the table, optionally Hive-partitioned; returns the rows written."""
         obs = Observation(f"{layer}.{name}")
+        parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+        if parts:
+            # AQE rebalance: rows of one partition value meet in few tasks (few files per directory), while a
+            # skewed value is split across tasks and small ones are coalesced.
+            df = df.hint("rebalance", *parts)
         writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-        if partition_by:
-            writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        if parts:
+            writer = writer.partitionBy(*parts)
         writer.parquet(self.path(layer, name))
         return int(obs.get["rows"])
 
