@@ -198,6 +198,29 @@ def q_catalog_tables(spark, sf_dir):
     return catalog_tables(lake.silver, lake.gold).drop("columns", "upstream")
 
 
+def q_bronze_ingest(spark, sf_dir):
+    """The sources written as contract CSV files, ingested strictly into bronze Parquet; rows and
+    malformed rows per source, counted from the bronze tables."""
+    from ..contracts import SOURCES
+    from ..sources.files import CORRUPT, write_csv
+    from ..sources.tables import TableStore
+    from ..streaming.hourly import scratch_dir
+    from .jobs import LakeJob
+    root = scratch_dir(spark, "ingest")
+    src = standin.sources(spark, sf_dir)
+    for name, contract in SOURCES.items():
+        write_csv(src[name], f"{root}/raw/{contract.file}")
+    store = TableStore(f"{root}/lake")
+    LakeJob(spark, store, raw_dir=f"{root}/raw").bronze()
+    parts = [store.read(spark, "bronze", n).agg(F.count(F.lit(1)).alias("rows"),
+                                                F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"))
+             .select(F.lit(n).alias("table"), "rows", "malformed") for n in SOURCES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_daily_kpis": q_mart_daily_kpis,
     "fact_orders": q_fact_orders,
@@ -229,6 +252,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_stream": q_hourly_stream,
     "sample_slice": q_sample_slice,
     "catalog_tables": q_catalog_tables,
+    "bronze_ingest": q_bronze_ingest,
 }
 
 
@@ -352,4 +376,9 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY order_id) p ON o.order_id = p.order_id)", "ts", "status", "value")),
         "sample_slice": _sample_sql(),
         "catalog_tables": _catalog_sql(),
+        "bronze_ingest": nk("\nUNION ALL\n".join(
+            f"SELECT '{n}' AS \"table\", count(*) AS rows, CAST(0 AS BIGINT) AS malformed FROM {v}"
+            for n, v in (("orders", "src_orders"), ("order_items", "src_items"), ("customers", "src_customers"),
+                         ("sellers", "src_sellers"), ("products", "src_products"), ("payments", "src_payments"),
+                         ("reviews", "src_reviews"), ("category_translation", "src_translation")))),
     }
