@@ -193,8 +193,9 @@ CTES = {
 _DEPS_ORDER = list(CTES)
 
 
-def with_ctes(select: str) -> str:
-    """Prefix ``select`` with every CTE it (transitively) needs, in definition order."""
+def with_ctes(select: str, extra: dict[str, str] | None = None) -> str:
+    """Prefix ``select`` with every CTE it (transitively) needs, in definition order, then the ``extra`` CTEs."""
+    extra = extra or {}
     needed: set[str] = set()
 
     def visit(text: str):
@@ -203,8 +204,10 @@ def with_ctes(select: str) -> str:
                 needed.add(name)
                 visit(CTES[name])
 
-    visit(select)
+    for text in [select, *extra.values()]:
+        visit(text)
     parts = [f"{n} AS ({CTES[n]})" for n in _DEPS_ORDER if n in needed]
+    parts += [f"{n} AS ({q})" for n, q in extra.items()]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select
 
 

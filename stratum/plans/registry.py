@@ -291,10 +291,10 @@ def _hourly_sql(source: str, ts: str, status: str, value: str) -> str:
 
 
 def _sample_sql(n: int = 2000) -> str:
-    return with_ctes(f"""
-        , so AS (SELECT order_id, customer_id FROM src_orders
-                 ORDER BY order_purchase_timestamp ASC NULLS LAST, order_id ASC NULLS LAST LIMIT {n}),
-          si AS (SELECT * FROM src_items WHERE order_id IN (SELECT order_id FROM so))
+    extra = {"so": f"""SELECT order_id, customer_id FROM src_orders
+                       ORDER BY order_purchase_timestamp ASC NULLS LAST, order_id ASC NULLS LAST LIMIT {n}""",
+             "si": "SELECT * FROM src_items WHERE order_id IN (SELECT order_id FROM so)"}
+    return with_ctes("""
         SELECT 'orders' AS "table", CAST(count(*) AS BIGINT) AS rows FROM so
         UNION ALL SELECT 'order_items', count(*) FROM si
         UNION ALL SELECT 'payments', count(*) FROM src_payments WHERE order_id IN (SELECT order_id FROM so)
@@ -302,7 +302,7 @@ def _sample_sql(n: int = 2000) -> str:
         UNION ALL SELECT 'customers', count(*) FROM src_customers WHERE customer_id IN (SELECT customer_id FROM so)
         UNION ALL SELECT 'sellers', count(*) FROM src_sellers WHERE seller_id IN (SELECT seller_id FROM si)
         UNION ALL SELECT 'products', count(*) FROM src_products WHERE product_id IN (SELECT product_id FROM si)
-        UNION ALL SELECT 'category_translation', count(*) FROM src_translation""")
+        UNION ALL SELECT 'category_translation', count(*) FROM src_translation""", extra)
 
 
 def _catalog_sql() -> str:
