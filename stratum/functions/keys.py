@@ -24,5 +24,10 @@ def surrogate_key(*cols) -> Column:
 
 
 def date_key(c) -> Column:
-    """yyyyMMdd as INT of the calendar day (session zone)."""
-    return F.date_format(F.to_date(_col(c)), "yyyyMMdd").cast("int")
+    """yyyyMMdd as INT of the calendar day (session zone).
+
+    Integer arithmetic on the date parts gives the same value as formatting the date as text and parsing it
+    back, without building a string per row.
+    """
+    d = F.to_date(_col(c))
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")

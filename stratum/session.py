@@ -22,14 +22,14 @@ SESSION_DEFAULTS = {
 
 
 def local_session(app: str = "stratum", cores: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and benches (UI off, UTC, AQE on)."""
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", driver_memory)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in SESSION_DEFAULTS.items():
+    for k, v in {**SESSION_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
