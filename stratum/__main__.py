@@ -14,7 +14,7 @@ import json
 from pyspark.sql import SparkSession
 
 from .plans.jobs import STAGES, LakeJob
-from .session import SESSION_DEFAULTS
+from .session import SESSION_DEFAULTS, apply_settings, cluster_settings
 from .sources import standin
 from .sources.tables import TableStore
 
@@ -27,6 +27,7 @@ def main(argv=None) -> dict:
     src.add_argument("--tables", help="folder with the TPC-H-style parquet tables (stand-in sources)")
     ap.add_argument("--csv-mode", default="strict", choices=["strict", "failfast", "permissive"])
     ap.add_argument("--partition-facts", action="store_true")
+    ap.add_argument("--input-gb", type=float, help="size the shuffle and scan partitions for this much input")
     ap.add_argument("stages", nargs="*", default=list(STAGES))
     args = ap.parse_args(argv)
 
@@ -34,6 +35,8 @@ def main(argv=None) -> dict:
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if args.input_gb:
+        apply_settings(spark, cluster_settings(int(args.input_gb * 2**30)))
     job = LakeJob(spark, TableStore(args.lake), raw_dir=args.raw,
                   sources=standin.sources(spark, args.tables) if args.tables else None,
                   csv_mode=args.csv_mode, partition_facts=args.partition_facts)

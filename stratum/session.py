@@ -37,6 +37,41 @@ def local_session(app: str = "stratum", cores: int | str = "*", shuffle_partitio
     return spark
 
 
+# Target bytes per shuffle partition and per file split: large enough to keep task overhead low, small enough that a
+# partition sorts and aggregates in executor memory without heavy spilling.
+TARGET_PARTITION_BYTES = 256 * 2**20
+
+
+def cluster_settings(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Runtime SQL settings sized for ``input_bytes`` of input (e.g. 100 TB on a large cluster).
+
+    The initial shuffle partition count covers the whole input at ``target_bytes`` per partition (shuffles carry at
+    most about the input after pruning), and AQE coalesces it down to the advisory size per stage and splits
+    skewed partitions; scans split files at the same size. Window state for streams goes to RocksDB so large state
+    lives off-heap (set before the first stream of the session starts).
+    """
+    partitions = max(200, min(200_000, -(-input_bytes // target_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_bytes),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str], override: bool = False) -> dict[str, str]:
+    """Set each value unless the session already sets it (cluster settings win unless ``override``)."""
+    applied = {}
+    for k, v in settings.items():
+        if override or spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
 def require_utc(spark: SparkSession) -> None:
     """Date keys and window bounds are computed in the session zone; the contracts assume UTC."""
     tz = spark.conf.get("spark.sql.session.timeZone")

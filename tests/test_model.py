@@ -119,3 +119,11 @@ def test_owner_resolution_and_lineage(spark):
     edges = governance.lineage_edges(spark)
     first = edges.filter((F.col("table") == "gold.fact_orders") & (F.col("position") == 0)).first()
     assert first.upstream == "silver.orders"
+
+
+def test_broadcast_hint_only_with_a_proven_row_bound(spark):
+    from stratum.operators.joins import broadcast_if_bounded
+    small = spark.range(10)
+    big = spark.range(1000)
+    assert "broadcast" in str(broadcast_if_bounded(small, max_rows=100)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(broadcast_if_bounded(big, max_rows=100)._jdf.queryExecution().logical()).lower()

@@ -82,3 +82,12 @@ def test_csv_round_trip_and_table_store(spark, tmp_root):
     # overwrite a table with a frame computed from itself
     assert store.rewrite(back.filter("id < 5"), "bronze", "t") == 5
     assert store.read(spark, "bronze", "t").count() == 5
+
+
+def test_cluster_settings_scale_with_input_and_respect_existing_values(spark):
+    from stratum.session import apply_settings, cluster_settings
+    big = cluster_settings(100 * 2**40)                       # 100 TB
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(cluster_settings(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200   # floor for small inputs
+    applied = apply_settings(spark, {"spark.sql.shuffle.partitions": "999"})
+    assert applied == {} and spark.conf.get("spark.sql.shuffle.partitions") != "999"
