@@ -22,8 +22,11 @@ class TableStore:
         return spark.read.parquet(self.path(layer, name))
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by: str | list[str] | None = None,
-              mode: str = "overwrite") -> int:
-        """Overwrite (or append) the table, optionally Hive-partitioned; returns the rows written."""
+              mode: str = "overwrite", fmt: str = "parquet") -> int:
+        """Overwrite (or append) the table, optionally Hive-partitioned; returns the rows written.
+
+        ``fmt`` is Parquet for tables; reports use ``json`` (S15).
+        """
         obs = Observation(f"{layer}.{name}")
         parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
         if parts:
@@ -33,7 +36,7 @@ class TableStore:
         writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
         if parts:
             writer = writer.partitionBy(*parts)
-        writer.parquet(self.path(layer, name))
+        writer.format(fmt).save(self.path(layer, name))
         return int(obs.get["rows"])
 
     def rewrite(self, df: DataFrame, layer: str, name: str, partition_by: str | list[str] | None = None) -> int:
