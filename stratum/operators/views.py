@@ -16,7 +16,7 @@ VIEW_SQL = {
         SELECT d.year, d.month, COUNT(*) AS orders, ROUND(SUM(f.payment_value), 2) AS revenue,
                ROUND(AVG(CASE WHEN f.is_late THEN 1 ELSE 0 END), 4) AS late_share
         FROM {fact_orders} f JOIN {dim_date} d ON d.date_key = f.purchase_date_key
-        GROUP BY d.year, d.month""",
+        GROUP BY d.year, d.month ORDER BY d.year, d.month""",
     # V2: the rank runs over one row per category, after the aggregation.
     "v_category_performance": """
         SELECT p.category, COUNT(*) AS items, ROUND(SUM(i.price), 2) AS revenue,
