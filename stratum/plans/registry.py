@@ -204,7 +204,7 @@ def q_bronze_ingest(spark, sf_dir):
     from ..contracts import SOURCES
     from ..sources.files import CORRUPT, write_csv
     from ..sources.tables import TableStore
-    from ..streaming.hourly import scratch_dir
+    from ..session import scratch_dir
     from .jobs import LakeJob
     root = scratch_dir(spark, "ingest")
     src = standin.sources(spark, sf_dir)

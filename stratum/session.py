@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -95,3 +96,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="stratum-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def scratch_dir(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the session's checkpoint directory (shared storage on a cluster), never reused."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stratum-{tag}-{uuid.uuid4().hex}"
