@@ -162,6 +162,18 @@ def q_quality_suite(spark, sf_dir):
     return quality.run_checks(Lake(spark, sf_dir).silver, quality.silver_suite())
 
 
+def _contract_checks():
+    from ..contracts import SOURCES
+    from .jobs import SILVER
+    return [c for name in SILVER for c in quality.contract_suite(SOURCES[name])]
+
+
+def q_contract_checks(spark, sf_dir):
+    """Checks derived from the contracts (key not null, key unique, domains) on every silver table, payments
+    included."""
+    return quality.run_checks(Lake(spark, sf_dir).silver, _contract_checks())
+
+
 def q_gold_quality_suite(spark, sf_dir):
     return quality.run_checks(Lake(spark, sf_dir).gold, quality.gold_suite())
 
@@ -246,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_accepted": _suite_query("accepted"),
     "check_range": _suite_query("range"),
     "quality_suite": q_quality_suite,
+    "contract_checks": q_contract_checks,
     "gold_quality_suite": q_gold_quality_suite,
     "quality_report": q_quality_report,
     "hourly_windows": q_hourly_windows,
@@ -366,6 +379,7 @@ def oracle_sql() -> dict[str, str]:
         "check_accepted": _suite_kind_sql("accepted"),
         "check_range": _suite_kind_sql("range"),
         "quality_suite": oracle.silver_suite_sql(),
+        "contract_checks": oracle.suite_sql(_contract_checks(), oracle.SILVER_VIEWS),
         "gold_quality_suite": oracle.gold_suite_sql(),
         "quality_report": _quality_report_sql(),
         "hourly_windows": _hourly_sql("events", "ts", "CASE WHEN event_type = 'error' THEN 'canceled' ELSE event_type END",
