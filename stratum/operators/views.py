@@ -1,5 +1,7 @@
 """Analyst views, PII masking and ad-hoc SQL.
 
+Money totals are exact DECIMAL sums rounded once (see ``functions.money``).
+
 Views are Spark SQL over the gold tables registered as temporary views, so analyst queries keep the full Catalyst
 path (pruning, pushdown, AQE) and stay distributed; nothing is loaded into a single-process database.
 """
@@ -9,18 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import pii_columns
+from ..functions.money import MONEY, money_total
 
 VIEW_SQL = {
     # V1: late_share counts an undelivered order (NULL is_late) as on time, unlike the mart's late_share.
     "v_monthly_revenue": """
-        SELECT d.year, d.month, COUNT(*) AS orders, ROUND(SUM(f.payment_value), 2) AS revenue,
+        SELECT d.year, d.month, COUNT(*) AS orders,
+               CAST(ROUND(SUM(CAST(f.payment_value AS DECIMAL(18,6))), 2) AS DOUBLE) AS revenue,
                ROUND(AVG(CASE WHEN f.is_late THEN 1 ELSE 0 END), 4) AS late_share
         FROM {fact_orders} f JOIN {dim_date} d ON d.date_key = f.purchase_date_key
         GROUP BY d.year, d.month ORDER BY d.year, d.month""",
     # V2: the rank runs over one row per category, after the aggregation.
     "v_category_performance": """
-        SELECT p.category, COUNT(*) AS items, ROUND(SUM(i.price), 2) AS revenue,
-               RANK() OVER (ORDER BY SUM(i.price) DESC) AS revenue_rank
+        SELECT p.category, COUNT(*) AS items,
+               CAST(ROUND(SUM(CAST(i.price AS DECIMAL(18,6))), 2) AS DOUBLE) AS revenue,
+               RANK() OVER (ORDER BY SUM(CAST(i.price AS DECIMAL(18,6))) DESC) AS revenue_rank
         FROM {fact_order_items} i JOIN {dim_product} p USING (product_key)
         GROUP BY p.category""",
     # V3: city-level data only; zip code and the person id are left out.
@@ -55,7 +60,7 @@ def monthly_revenue(facts: DataFrame, dates: DataFrame) -> DataFrame:
     """V1 with the DataFrame API (same plan as the SQL view)."""
     j = facts.join(dates, dates.date_key == facts.purchase_date_key)
     return (j.groupBy(dates.year, dates.month)
-            .agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum(facts.payment_value), 2).alias("revenue"),
+            .agg(F.count(F.lit(1)).alias("orders"), money_total(facts.payment_value).alias("revenue"),
                  F.round(F.avg(F.when(facts.is_late, 1).otherwise(0)), 4).alias("late_share"))
             .orderBy("year", "month"))
 
@@ -64,8 +69,8 @@ def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
     """V2: aggregate first, then rank the (few) categories in one window partition."""
     from pyspark.sql import Window
     per = (items.join(products, "product_key").groupBy("category")
-           .agg(F.count(F.lit(1)).alias("items"), F.sum("price").alias("_rev")))
-    return per.select("category", "items", F.round("_rev", 2).alias("revenue"),
+           .agg(F.count(F.lit(1)).alias("items"), F.sum(F.col("price").cast(MONEY)).alias("_rev")))
+    return per.select("category", "items", F.round("_rev", 2).cast("double").alias("revenue"),
                       F.rank().over(Window.orderBy(F.col("_rev").desc())).alias("revenue_rank"))
 
 

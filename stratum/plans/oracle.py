@@ -17,6 +17,16 @@ def R(x: str, n: int) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
 
 
+def MS(x: str) -> str:
+    """Exact money sum as DOUBLE (DECIMAL(18,6) per value), as ``functions.money.money_sum``."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(18,6))) AS DOUBLE)"
+
+
+def MT(x: str, n: int = 2) -> str:
+    """Exact money sum rounded to ``n`` decimals, as ``functions.money.money_total``."""
+    return f"CAST(round(sum(CAST({x} AS DECIMAL(18,6))), {n}) AS DOUBLE)"
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -153,12 +163,12 @@ CTES = {
             FROM src_products p LEFT JOIN tr_one t ON p.product_category_name = t.product_category_name)
         {_first(['product_category_name'] + [c for c in _cols('products') if c != 'product_category_name'] + ['category'], ['product_id'])}""",
     # --- gold (natural keys) -----------------------------------------------------------------------------------
-    "g_lines": """
-        SELECT order_id, count(*) AS items, sum(price) AS items_value, sum(freight_value) AS freight_value
+    "g_lines": f"""
+        SELECT order_id, count(*) AS items, {MS('price')} AS items_value, {MS('freight_value')} AS freight_value
         FROM s_items GROUP BY order_id""",
-    "g_paid": """
-        SELECT order_id, sum(payment_value) AS payment_value,
-               (min({'s': payment_sequential, 't': payment_type})).t AS payment_type
+    "g_paid": f"""
+        SELECT order_id, {MS('payment_value')} AS payment_value,
+               (min({{'s': payment_sequential, 't': payment_type}})).t AS payment_type
         FROM s_payments GROUP BY order_id""",
     "g_review": "SELECT order_id, avg(review_score) AS review_score FROM s_reviews GROUP BY order_id",
     "fact_orders_nk": """

@@ -16,7 +16,7 @@ from pyspark.sql.types import TimestampType
 from ..operators import clean, model, quality, views
 from ..sources import standin
 from . import oracle
-from .oracle import R, with_ctes
+from .oracle import MS, MT, R, with_ctes
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -298,7 +298,7 @@ def _quarantine_sql() -> str:
 def _hourly_sql(source: str, ts: str, status: str, value: str) -> str:
     return f"""
         SELECT date_trunc('hour', {ts}) AS window_start, date_trunc('hour', {ts}) + INTERVAL 1 HOUR AS window_end,
-               count(*) AS orders, {R(f'sum({value})', 2)} AS revenue,
+               count(*) AS orders, {MT(value)} AS revenue,
                CAST(sum(CASE WHEN {status} = 'canceled' THEN 1 ELSE 0 END) AS BIGINT) AS canceled
         FROM {source} GROUP BY 1, 2"""
 
@@ -336,7 +336,7 @@ def oracle_sql() -> dict[str, str]:
     nk = with_ctes
     return {
         "mart_daily_kpis": nk(f"""
-            SELECT purchase_date_key, count(*) AS orders, {R('sum(payment_value)', 2)} AS revenue,
+            SELECT purchase_date_key, count(*) AS orders, {MT('payment_value')} AS revenue,
                    {R('avg(CAST(is_late AS INTEGER))', 4)} AS late_share,
                    {R("avg(CAST(order_status IS NOT DISTINCT FROM 'canceled' AS INTEGER))", 4)} AS cancel_share,
                    {R('avg(review_score)', 3)} AS avg_review
@@ -352,13 +352,13 @@ def oracle_sql() -> dict[str, str]:
         "dim_seller": nk("SELECT * FROM dim_seller_nk"),
         "dim_product": nk("SELECT * FROM dim_product_nk"),
         "monthly_revenue": nk(f"""
-            SELECT d.year, d.month, count(*) AS orders, {R('sum(f.payment_value)', 2)} AS revenue,
+            SELECT d.year, d.month, count(*) AS orders, {MT('f.payment_value')} AS revenue,
                    {R('avg(CASE WHEN f.is_late THEN 1 ELSE 0 END)', 4)} AS late_share
             FROM fact_orders_nk f JOIN dim_date_nk d ON d.date_key = f.purchase_date_key
             GROUP BY d.year, d.month"""),
         "category_performance": nk(f"""
-            SELECT p.category, count(*) AS items, {R('sum(i.price)', 2)} AS revenue,
-                   CAST(rank() OVER (ORDER BY sum(i.price) DESC) AS INTEGER) AS revenue_rank
+            SELECT p.category, count(*) AS items, {MT('i.price')} AS revenue,
+                   CAST(rank() OVER (ORDER BY sum(CAST(i.price AS DECIMAL(18,6))) DESC) AS INTEGER) AS revenue_rank
             FROM fact_items_nk i JOIN dim_product_nk p ON i.product_id = p.product_id
             GROUP BY p.category"""),
         "quarantine_split": nk(_quarantine_sql()),
@@ -386,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
                                       "value"),
         "hourly_stream": nk(_hourly_sql(
             "(SELECT o.order_purchase_timestamp AS ts, o.order_status AS status, p.payment_value AS value "
-            "FROM s_orders o LEFT JOIN (SELECT order_id, sum(payment_value) AS payment_value FROM s_payments "
+            f"FROM s_orders o LEFT JOIN (SELECT order_id, {MS('payment_value')} AS payment_value FROM s_payments "
             "GROUP BY order_id) p ON o.order_id = p.order_id)", "ts", "status", "value")),
         "sample_slice": _sample_sql(),
         "catalog_tables": _catalog_sql(),

@@ -86,8 +86,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is the shared folder named by ``spark.checkpoint.dir``; we only read it. A private
     scratch folder is set only when nothing is configured (local tests and benches).
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext; the server owns checkpoints
+        return configured or _LOCAL_SCRATCH.setdefault("dir", tempfile.mkdtemp(prefix="stratum-ckpt-"))
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -98,6 +102,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the session's checkpoint directory (shared storage on a cluster), never reused."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stratum-{tag}-{uuid.uuid4().hex}"

@@ -54,11 +54,13 @@ def _ts(col) -> F.Column:
 
 
 def orders(t: Tables) -> DataFrame:
-    ships = (t["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    # Joined on the text order_id (not o_orderkey) so the join's hash partitioning is the one the order
+    # de-duplication and every later order_id join need: orders are shuffled once.
+    ships = (t["lineitem"].groupBy(F.col("l_orderkey").cast("string").alias("order_id"))
              .agg(F.min("l_shipdate").alias("_first_ship"), F.max("l_shipdate").alias("_last_ship")))
-    o = t["orders"].join(ships, "o_orderkey", "left")
+    o = t["orders"].withColumn("order_id", F.col("o_orderkey").cast("string")).join(ships, "order_id", "left")
     return o.select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
+        "order_id",
         F.col("o_custkey").cast("string").alias("customer_id"),
         _case("o_orderstatus", STATUS_BY_CODE).alias("order_status"),
         _ts("o_orderdate").alias("order_purchase_timestamp"),

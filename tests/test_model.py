@@ -127,3 +127,12 @@ def test_broadcast_hint_only_with_a_proven_row_bound(spark):
     big = spark.range(1000)
     assert "broadcast" in str(broadcast_if_bounded(small, max_rows=100)._jdf.queryExecution().logical()).lower()
     assert "broadcast" not in str(broadcast_if_bounded(big, max_rows=100)._jdf.queryExecution().logical()).lower()
+
+
+def test_money_sums_do_not_depend_on_partitioning(spark):
+    from stratum.functions.money import money_total
+    # 0.1 + 0.2 + ... in different orders gives different doubles; the exact decimal sum does not
+    vals = [(0.1,), (0.2,), (0.3,), (1e6 + 0.005,), (0.015,)] * 200
+    df = spark.createDataFrame(vals, "v DOUBLE")
+    totals = {df.repartition(n).agg(money_total("v").alias("t")).first().t for n in (1, 3, 7, 16)}
+    assert totals == {200000124.0}
