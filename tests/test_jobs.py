@@ -122,3 +122,20 @@ def test_run_writes_a_summary(spark, tmp_root):
     assert set(summary) == {"bronze", "silver", "gold", "quality_gold"}
     back = json.loads(spark.read.json(store.path("reports", "run_summary")).first().summary)
     assert back["gold"]["result"]["fact_orders"] == summary["gold"]["result"]["fact_orders"]
+
+
+def test_command_line_runs_selected_stages(spark, tmp_root):
+    from stratum.__main__ import main
+    from stratum.session import cluster_settings
+    before = {k: spark.conf.get(k, None) for k in cluster_settings(2**30)}
+    try:
+        summary = main(["--lake", f"file://{tmp_root}/lake", "--tables", SF_SMALL, "--input-gb", "1",
+                        "bronze", "silver", "gold"])
+    finally:                                        # the session is shared with the other tests
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert list(summary) == ["bronze", "silver", "gold"]
+    assert summary["gold"]["result"]["fact_orders"] == summary["silver"]["result"]["rows"]["orders"]
