@@ -47,3 +47,15 @@ def test_entry_runs_on_the_smoke_tables(spark):
     df = entry.entry(spark)
     assert df.columns == ["purchase_date_key", "orders", "revenue", "late_share", "cancel_share", "avg_review"]
     assert df.count() > 0
+
+
+def test_materialized_lake_gives_the_same_checks(spark, con):
+    from stratum.plans.registry import MATERIALIZE_CONF
+    spark.conf.set(MATERIALIZE_CONF, "true")
+    try:
+        df = QUERIES["quality_report"](spark, SF_SMALL)
+        cols, srows = df.columns, [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.unset(MATERIALIZE_CONF)
+    res = con.execute(ORACLE["quality_report"])
+    assert rows_of(cols, srows) == rows_of([d[0] for d in res.description], res.fetchall())
