@@ -57,9 +57,25 @@ def lineage_edges(spark) -> DataFrame:
     return spark.createDataFrame(rows, "table STRING, upstream STRING, position INT")
 
 
+def tag_pii(df: DataFrame, pii: frozenset[str] | None = None) -> DataFrame:
+    """Mark PII columns in the schema itself (field metadata ``{"pii": true}``).
+
+    The tag is stored in the Parquet footer with the schema, so it travels with the written table to every reader.
+    """
+    pii = pii if pii is not None else pii_columns()
+    if not any(c in pii for c in df.columns):
+        return df
+    return df.select(*[F.col(c).alias(c, metadata={"pii": True}) if c in pii else F.col(c) for c in df.columns])
+
+
+def is_pii(field, pii: frozenset[str]) -> bool:
+    """A column is PII when its schema says so, or when a contract names it."""
+    return bool((field.metadata or {}).get("pii")) or field.name in pii
+
+
 def _columns(df: DataFrame, pii: frozenset[str]):
     return F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
-                              F.lit(f.name in pii).alias("pii")) for f in df.schema.fields])
+                              F.lit(is_pii(f, pii)).alias("pii")) for f in df.schema.fields])
 
 
 def catalog_tables(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
