@@ -41,10 +41,24 @@ def flag(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn(REASON, reason_column(rules))
 
 
+def any_bad(rules: list[Rule]) -> Column:
+    """TRUE when some rule is TRUE. As a filter it keeps exactly the rejected rows (NULL OR TRUE is TRUE, and a
+    filter drops NULL), and Catalyst can push it into a Parquet scan when the rules compare plain columns."""
+    cond = None
+    for rule in rules:
+        cond = rule.predicate() if cond is None else (cond | rule.predicate())
+    return cond if cond is not None else F.lit(False)
+
+
 def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the reason column, rejected rows with it)."""
-    flagged = flag(df, rules)
-    return flagged.filter(F.col(REASON).isNull()).drop(REASON), flagged.filter(F.col(REASON).isNotNull())
+    """(good rows without the reason column, rejected rows with it).
+
+    The rejected branch filters on the OR of the rules *before* naming the reason, so on Parquet input the filter
+    is pushed to the scan and row groups whose statistics rule out every reject are skipped.
+    """
+    good = flag(df, rules).filter(F.col(REASON).isNull()).drop(REASON)
+    rejected = df.filter(any_bad(rules)).withColumn(REASON, reason_column(rules))
+    return good, rejected
 
 
 def quarantine_rows(rejected: DataFrame, table: str, key: list[str] | tuple[str, ...],

@@ -77,3 +77,14 @@ def test_partitioned_writes_rebalance(spark, tmp_root):
     text = plan(df.hint("rebalance", "d"))
     assert "REBALANCE_PARTITIONS_BY_COL" in text
     assert TableStore(f"file://{tmp_root}").write(df, "gold", "t", partition_by="d") == 100
+
+
+def test_reject_filter_reaches_the_parquet_scan(spark, tmp_root):
+    from stratum.operators import clean
+    from stratum.sources.tables import TableStore
+    store = TableStore(f"file://{tmp_root}")
+    store.write(standin.order_items(standin.Tables(spark, SF_SMALL)), "bronze", "order_items")
+    _, rejected = clean.clean_items(store.read(spark, "bronze", "order_items"))
+    text = plan(rejected)
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", text).group(1)
+    assert "Or(Or(LessThan(price,0.0),LessThan(freight_value,0.0)),IsNull(product_id))" in pushed
