@@ -10,19 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import BROADCAST_MAX_ROWS
+
 
 def sample_slice(src: dict[str, DataFrame], n: int = 2000,
                  order_col: str = "order_purchase_timestamp") -> dict[str, DataFrame]:
     orders = (src["orders"].orderBy(F.col(order_col).asc_nulls_last(), F.col("order_id").asc_nulls_last())
               .limit(n))
-    ids = F.broadcast(orders.select("order_id"))
+    # the key sets have at most n rows: broadcast them while n is within the broadcast bound, else shuffle
+    small = (lambda df: F.broadcast(df)) if n <= BROADCAST_MAX_ROWS else (lambda df: df)
+    ids = small(orders.select("order_id"))
     items = src["order_items"].join(ids, "order_id", "left_semi")
     return {
         "orders": orders,
         "order_items": items,
         "payments": src["payments"].join(ids, "order_id", "left_semi"),
         "reviews": src["reviews"].join(ids, "order_id", "left_semi"),
-        "customers": src["customers"].join(F.broadcast(orders.select("customer_id")), "customer_id", "left_semi"),
+        "customers": src["customers"].join(small(orders.select("customer_id")), "customer_id", "left_semi"),
         "sellers": src["sellers"].join(items.select("seller_id"), "seller_id", "left_semi"),
         "products": src["products"].join(items.select("product_id"), "product_id", "left_semi"),
         "category_translation": src["category_translation"],
