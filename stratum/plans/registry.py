@@ -381,7 +381,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT purchase_date_key, count(*) AS orders, {MT('payment_value')} AS revenue,
                    {R('avg(CAST(is_late AS INTEGER))', 4)} AS late_share,
                    {R("avg(CAST(order_status IS NOT DISTINCT FROM 'canceled' AS INTEGER))", 4)} AS cancel_share,
-                   {R('avg(review_score)', 3)} AS avg_review
+                   {R('avg(CAST(review_score AS DECIMAL(20,12)))', 3)} AS avg_review
             FROM fact_orders_nk GROUP BY purchase_date_key"""),
         "fact_orders": nk(f"""
             SELECT order_id, purchase_date_key, order_status, items, {R('items_value', 2)} AS items_value,
