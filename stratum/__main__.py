@@ -28,6 +28,8 @@ def main(argv=None) -> dict:
     ap.add_argument("--csv-mode", default="strict", choices=["strict", "failfast", "permissive"])
     ap.add_argument("--partition-facts", action="store_true")
     ap.add_argument("--input-gb", type=float, help="size the shuffle and scan partitions for this much input")
+    ap.add_argument("--database", help="catalog database for bucketed tables (needs a shared metastore across runs)")
+    ap.add_argument("--buckets", type=int, help="bucket the order-keyed tables on order_id (needs --database)")
     ap.add_argument("stages", nargs="*", default=list(STAGES))
     args = ap.parse_args(argv)
 
@@ -37,7 +39,7 @@ def main(argv=None) -> dict:
     spark = builder.getOrCreate()
     if args.input_gb:
         apply_settings(spark, cluster_settings(int(args.input_gb * 2**30)))
-    job = LakeJob(spark, TableStore(args.lake), raw_dir=args.raw,
+    job = LakeJob(spark, TableStore(args.lake, database=args.database), raw_dir=args.raw, buckets=args.buckets,
                   sources=standin.sources(spark, args.tables) if args.tables else None,
                   csv_mode=args.csv_mode, partition_facts=args.partition_facts)
     summary = job.run(args.stages)

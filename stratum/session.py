@@ -29,7 +29,8 @@ def local_session(app: str = "stratum", cores: int | str = "*", shuffle_partitio
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", driver_memory)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stratum-warehouse-")))
     for k, v in {**SESSION_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -88,3 +88,27 @@ def test_reject_filter_reaches_the_parquet_scan(spark, tmp_root):
     text = plan(rejected)
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", text).group(1)
     assert "Or(Or(LessThan(price,0.0),LessThan(freight_value,0.0)),IsNull(product_id))" in pushed
+
+
+def test_bucketed_silver_makes_the_order_joins_shuffle_free(spark, tmp_root):
+    from stratum.operators import model
+    from stratum.plans.jobs import SILVER, LakeJob
+    from stratum.sources.tables import TableStore
+    results = {}
+    for label, store, buckets in (("plain", TableStore(f"file://{tmp_root}/a"), None),
+                                  ("bucketed", TableStore(f"file://{tmp_root}/b", database="test_bucketed"), 4)):
+        job = LakeJob(spark, store, sources=standin.sources(spark, SF_SMALL), buckets=buckets)
+        job.bronze()
+        job.silver()
+        silver = {n: store.read(spark, "silver", n) for n in SILVER}
+        facts = model.build(silver)["fact_orders"]
+        text = plan(facts)
+        results[label] = (len(re.findall(r"Exchange hashpartitioning\(order_id", text)),
+                          sorted(tuple(r) for r in facts.drop("customer_key").collect()))
+        if buckets:
+            job.gold()
+            # the written order fact keeps the bucketing: the uniqueness check on order_id needs no shuffle
+            check = store.read(spark, "gold", "fact_orders").groupBy("order_id").count()
+            assert "Exchange hashpartitioning(order_id" not in plan(check)
+    assert results["plain"][0] >= 3 and results["bucketed"][0] == 0
+    assert results["plain"][1] == results["bucketed"][1]
