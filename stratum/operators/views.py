@@ -75,10 +75,12 @@ def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def mask(df: DataFrame, policy: dict[str, str] | None = None, pii: frozenset[str] | None = None,
-         keep: tuple[str, ...] = ()) -> DataFrame:
+         keep: tuple[str, ...] = (), salt: str | None = None) -> DataFrame:
     """Contract-driven masking: every PII column is dropped, hashed (sha2-256) or kept as the policy says.
 
-    Columns not named in ``policy`` default to ``drop``; ``keep`` lists PII columns shown on purpose.
+    Columns not named in ``policy`` default to ``drop``; ``keep`` lists PII columns shown on purpose. Low-cardinality
+    values (a 5-digit zip) are easy to recover from a bare hash by trying every value, so pass a secret ``salt``
+    when hashed columns leave the governed zone; equal inputs still hash equal, so joins on them keep working.
     """
     pii = pii if pii is not None else pii_columns()
     policy = dict(policy or {})
@@ -88,7 +90,8 @@ def mask(df: DataFrame, policy: dict[str, str] | None = None, pii: frozenset[str
         if action == "keep":
             cols.append(F.col(name))
         elif action == "hash":
-            cols.append(F.sha2(F.col(name).cast("string"), 256).alias(name))
+            value = F.col(name).cast("string")
+            cols.append(F.sha2(F.concat(F.lit(salt), value) if salt else value, 256).alias(name))
         elif action != "drop":
             raise ValueError(f"unknown masking action {action!r} for {name}")
     return df.select(*cols)

@@ -109,6 +109,8 @@ def test_contract_masking_drops_or_hashes_pii(spark):
     assert views.mask(df).columns == ["customer_id", "customer_state"]
     hashed = views.mask(df, {"customer_zip_code_prefix": "hash"}, keep=("customer_city",)).first()
     assert len(hashed.customer_zip_code_prefix) == 64 and hashed.customer_city == "Sao Paulo"
+    salted = views.mask(df, {"customer_zip_code_prefix": "hash"}, salt="s3cret").first()
+    assert salted.customer_zip_code_prefix != hashed.customer_zip_code_prefix
 
 
 def test_owner_resolution_and_lineage(spark):
