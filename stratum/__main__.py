@@ -30,6 +30,10 @@ def main(argv=None) -> dict:
     ap.add_argument("--input-gb", type=float, help="size the shuffle and scan partitions for this much input")
     ap.add_argument("--database", help="catalog database for bucketed tables (needs a shared metastore across runs)")
     ap.add_argument("--buckets", type=int, help="bucket the order-keyed tables on order_id (needs --database)")
+    ap.add_argument("--raw-file", action="append", default=[], metavar="SOURCE=FILE",
+                    help="file name of a source under --raw (default <source>.csv); repeat per source")
+    ap.add_argument("--single-line-csv", action="store_true",
+                    help="no CSV field holds a newline: split large files across tasks")
     ap.add_argument("stages", nargs="*", default=list(STAGES))
     args = ap.parse_args(argv)
 
@@ -39,7 +43,9 @@ def main(argv=None) -> dict:
     spark = builder.getOrCreate()
     if args.input_gb:
         apply_settings(spark, cluster_settings(int(args.input_gb * 2**30)))
+    raw_files = dict(item.split("=", 1) for item in args.raw_file)
     job = LakeJob(spark, TableStore(args.lake, database=args.database), raw_dir=args.raw, buckets=args.buckets,
+                  raw_files=raw_files or None, csv_multi_line=not args.single_line_csv,
                   sources=standin.sources(spark, args.tables) if args.tables else None,
                   csv_mode=args.csv_mode, partition_facts=args.partition_facts)
     summary = job.run(args.stages)

@@ -3,7 +3,8 @@
 A sum of doubles depends on the order rows are added, which depends on partitioning, so a rerun on a different
 cluster can round a total ending in ...5 the other way. Money is therefore summed as DECIMAL: each value is taken
 to six decimals (amounts carry at most that many) and the sum is exact and order-independent; rounding to cents
-happens once, HALF_UP, on the exact total.
+happens once, HALF_UP, on the exact total. A group holding a value that has no decimal form (NaN, infinity, or
+beyond 10^12) falls back to the double sum, so NaN still poisons the total and nothing aborts.
 """
 from __future__ import annotations
 
@@ -17,11 +18,22 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _exact(c: Column):
+    """(exact decimal sum, all values converted): NaN, infinities and values beyond the decimal range do not
+    convert, and then the caller falls back to the double sum (NaN and overflow behave as for doubles)."""
+    as_dec = c.try_cast(MONEY)
+    return F.sum(as_dec), F.count_if(c.isNotNull() & as_dec.isNull()) == 0
+
+
 def money_sum(c) -> Column:
     """Exact sum as DOUBLE (the double nearest the exact decimal total)."""
-    return F.sum(_col(c).cast(MONEY)).cast("double")
+    c = _col(c)
+    exact, ok = _exact(c)
+    return F.when(ok, exact.cast("double")).otherwise(F.sum(c))
 
 
 def money_total(c, digits: int = 2) -> Column:
     """Exact sum rounded HALF_UP to ``digits`` decimals, as DOUBLE."""
-    return F.round(F.sum(_col(c).cast(MONEY)), digits).cast("double")
+    c = _col(c)
+    exact, ok = _exact(c)
+    return F.when(ok, F.round(exact, digits).cast("double")).otherwise(F.round(F.sum(c), digits))

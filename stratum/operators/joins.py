@@ -12,10 +12,11 @@ BROADCAST_MAX_ROWS = 200_000
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only after proving the side has at most ``max_rows`` rows.
 
-    The proof is a ``limit(max_rows + 1).count()``, which stops reading as soon as the bound is exceeded, so
-    it costs at most ``max_rows + 1`` rows of work however large the input is.
+    The proof is ``take(max_rows + 1)`` of a constant column: Spark scans partitions incrementally and stops once
+    it holds ``max_rows + 1`` rows, and at most that many one-column rows reach the driver. (A frame with shuffles
+    upstream still computes them; use it on scans and cheap projections of lookup tables.)
     """
-    n = df.limit(max_rows + 1).count()
+    n = len(df.select(F.lit(1).alias("_")).take(max_rows + 1))
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -2,8 +2,8 @@
 
 The first ``n`` orders by purchase time (ties by order_id) and every row that belongs to them: lines, payments and
 reviews of those orders, their customers, and the sellers and products their lines reference. The top-n is a
-``TakeOrderedAndProject`` (each partition keeps its own top n), and every member table is cut with a left-semi join
-against that bounded key set, so no large table is shuffled.
+``TakeOrderedAndProject`` (each partition keeps its own top n), computed once and checkpointed (n rows), and every
+member table is cut with a left-semi join against that bounded key set, so no large table is shuffled.
 """
 from __future__ import annotations
 
@@ -15,8 +15,9 @@ from .joins import BROADCAST_MAX_ROWS
 
 def sample_slice(src: dict[str, DataFrame], n: int = 2000,
                  order_col: str = "order_purchase_timestamp") -> dict[str, DataFrame]:
+    # the top n is computed once: a reliable checkpoint of its n rows, reused by every member's semi-join
     orders = (src["orders"].orderBy(F.col(order_col).asc_nulls_last(), F.col("order_id").asc_nulls_last())
-              .limit(n))
+              .limit(n).checkpoint(eager=True))
     # the key sets have at most n rows: broadcast them while n is within the broadcast bound, else shuffle
     small = (lambda df: F.broadcast(df)) if n <= BROADCAST_MAX_ROWS else (lambda df: df)
     ids = small(orders.select("order_id"))

@@ -11,21 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import pii_columns
-from ..functions.money import MONEY, money_total
+from ..functions.money import money_sum, money_total
+
+def _money_total_sql(x: str, digits: int = 2) -> str:
+    """``functions.money.money_total`` in SQL: exact DECIMAL total, double fallback for non-decimal values."""
+    dec = f"try_cast({x} AS DECIMAL(18,6))"
+    return (f"CASE WHEN COUNT_IF({x} IS NOT NULL AND {dec} IS NULL) = 0 THEN CAST(ROUND(SUM({dec}), {digits}) AS DOUBLE) "
+            f"ELSE ROUND(SUM({x}), {digits}) END")
+
+
+def _money_sum_sql(x: str) -> str:
+    dec = f"try_cast({x} AS DECIMAL(18,6))"
+    return f"CASE WHEN COUNT_IF({x} IS NOT NULL AND {dec} IS NULL) = 0 THEN CAST(SUM({dec}) AS DOUBLE) ELSE SUM({x}) END"
+
 
 VIEW_SQL = {
     # V1: late_share counts an undelivered order (NULL is_late) as on time, unlike the mart's late_share.
     "v_monthly_revenue": """
-        SELECT d.year, d.month, COUNT(*) AS orders,
-               CAST(ROUND(SUM(CAST(f.payment_value AS DECIMAL(18,6))), 2) AS DOUBLE) AS revenue,
+        SELECT d.year, d.month, COUNT(*) AS orders, {money_total_payment} AS revenue,
                ROUND(AVG(CASE WHEN f.is_late THEN 1 ELSE 0 END), 4) AS late_share
         FROM {fact_orders} f JOIN {dim_date} d ON d.date_key = f.purchase_date_key
         GROUP BY d.year, d.month ORDER BY d.year, d.month""",
     # V2: the rank runs over one row per category, after the aggregation.
     "v_category_performance": """
-        SELECT p.category, COUNT(*) AS items,
-               CAST(ROUND(SUM(CAST(i.price AS DECIMAL(18,6))), 2) AS DOUBLE) AS revenue,
-               RANK() OVER (ORDER BY SUM(CAST(i.price AS DECIMAL(18,6))) DESC) AS revenue_rank
+        SELECT p.category, COUNT(*) AS items, {money_total_price} AS revenue,
+               RANK() OVER (ORDER BY {money_sum_price} DESC) AS revenue_rank
         FROM {fact_order_items} i JOIN {dim_product} p USING (product_key)
         GROUP BY p.category""",
     # V3: city-level data only; zip code and the person id are left out.
@@ -51,7 +61,9 @@ def create_views(spark: SparkSession, gold: dict[str, DataFrame], prefix: str =
     names = register_gold(gold, prefix)
     out = {}
     for view, sql in VIEW_SQL.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS {sql.format(**names)}")
+        sql = sql.format(**names, money_total_payment=_money_total_sql("f.payment_value"),
+                         money_total_price=_money_total_sql("i.price"), money_sum_price=_money_sum_sql("i.price"))
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS {sql}")
         out[view] = spark.table(view)
     return out
 
@@ -69,8 +81,9 @@ def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
     """V2: aggregate first, then rank the (few) categories in one window partition."""
     from pyspark.sql import Window
     per = (items.join(products, "product_key").groupBy("category")
-           .agg(F.count(F.lit(1)).alias("items"), F.sum(F.col("price").cast(MONEY)).alias("_rev")))
-    return per.select("category", "items", F.round("_rev", 2).cast("double").alias("revenue"),
+           .agg(F.count(F.lit(1)).alias("items"), money_sum("price").alias("_rev"),
+                money_total("price").alias("revenue")))
+    return per.select("category", "items", "revenue",
                       F.rank().over(Window.orderBy(F.col("_rev").desc())).alias("revenue_rank"))
 
 

@@ -91,7 +91,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext; the server owns checkpoints
-        return configured or _LOCAL_SCRATCH.setdefault("dir", tempfile.mkdtemp(prefix="stratum-ckpt-"))
+        if configured:
+            return configured
+        _require_local(spark.conf.get("spark.master", ""))
+        if "dir" not in _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH["dir"] = tempfile.mkdtemp(prefix="stratum-ckpt-")
+        return _LOCAL_SCRATCH["dir"]
     configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
@@ -99,10 +104,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    _require_local(sc.master)
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="stratum-ckpt-"))
     return sc.getCheckpointDir()
 
 
+def _require_local(master: str) -> None:
+    """A machine-local scratch folder is only right when driver and executors share the machine."""
+    if not (master or "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints, materialised tables and "
+                           "stream scratch space must be visible to every executor")
+
+
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 

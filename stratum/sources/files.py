@@ -20,7 +20,8 @@ from ..contracts import Contract
 
 CORRUPT = "_corrupt_record"
 R_MALFORMED = "malformed row"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"       # read: seconds, fraction optional
+WRITE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"    # write: never drop fractional seconds
 
 
 def _reader(spark: SparkSession, multi_line: bool):
@@ -79,9 +80,11 @@ def read_raw_strings(spark: SparkSession, path: str, multi_line: bool = True) ->
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header line, timestamps in the contract format."""
+    """CSV with a header line; values written as they are (Spark's writer trims spaces unless told not to)
+    and timestamps with their fractional seconds."""
     (df.write.mode(mode).option("header", True).option("escape", '"')
-     .option("timestampFormat", TIMESTAMP_FORMAT).csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("timestampFormat", WRITE_TIMESTAMP_FORMAT).csv(path))
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -27,10 +27,18 @@ class TableStore:
     def table_name(self, layer: str, name: str) -> str:
         return f"{self.database}.{layer}_{name}"
 
+    def _registered_location(self, spark: SparkSession, layer: str, name: str) -> str | None:
+        """Where the catalog says ``layer.name`` lives, or None when it is not registered."""
+        table = self.table_name(layer, name)
+        if not (self.database and spark.catalog.tableExists(table)):
+            return None
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+        return rows[0]["data_type"] if rows else None
+
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
-        """The catalog table when there is one (bucket-aware scan), else a Parquet scan of the path;
-        Hive-style partition directories are discovered as columns."""
-        if self.database and spark.catalog.tableExists(self.table_name(layer, name)):
+        """The catalog table when it is registered at this store's path (bucket-aware scan), else a Parquet
+        scan of the path; Hive-style partition directories are discovered as columns."""
+        if _same_path(self._registered_location(spark, layer, name), self.path(layer, name)):
             return spark.table(self.table_name(layer, name))
         return spark.read.parquet(self.path(layer, name))
 
@@ -49,11 +57,16 @@ class TableStore:
             df = df.hint("rebalance", *parts)
         writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
         if parts:
-            writer = writer.partitionBy(*parts)
+            # an overwrite replaces the whole table, whatever the session's partitionOverwriteMode says
+            writer = writer.partitionBy(*parts).option("partitionOverwriteMode", "static")
         if bucket_by:
             if not self.database or not buckets:
                 raise ValueError("bucketed tables need a catalog database and a bucket count")
             df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+            where = self._registered_location(df.sparkSession, layer, name)
+            if where is not None and not _same_path(where, self.path(layer, name)):
+                raise ValueError(f"{self.table_name(layer, name)} is registered at {where}, another lake; "
+                                 "give each lake its own database")
             (writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).format(fmt)
              .option("path", self.path(layer, name)).saveAsTable(self.table_name(layer, name)))
         else:
@@ -69,3 +82,12 @@ class TableStore:
         directory, shared storage on a cluster) before the old files are deleted, so the plan no longer reads them.
         """
         return self.write(df.checkpoint(eager=True), layer, name, partition_by)
+
+
+def _same_path(a: str | None, b: str) -> bool:
+    """Compare locations, ignoring how a local path is spelled (file:/x, file:///x, /x) and trailing slashes."""
+    import re
+    if a is None:
+        return False
+    norm = lambda p: re.sub(r"^file:/+", "/", p).rstrip("/")
+    return norm(a) == norm(b)

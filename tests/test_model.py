@@ -25,12 +25,13 @@ def test_date_key_and_dim_date(spark):
     assert orders.select(date_key("order_purchase_timestamp").alias("k")).first().k == 20180106
 
 
-def test_dim_date_is_empty_for_reversed_or_null_bounds(spark):
-    rev = spark.createDataFrame([(T(2018, 2, 1), T(2018, 1, 1))],
-                                "order_purchase_timestamp TIMESTAMP, order_estimated_delivery_date TIMESTAMP")
-    none = spark.createDataFrame([(None, None)],
-                                 "order_purchase_timestamp TIMESTAMP, order_estimated_delivery_date TIMESTAMP")
-    assert model.dim_date(rev).count() == 0 and model.dim_date(none).count() == 0
+def test_dim_date_covers_every_purchase_day_and_is_empty_without_dates(spark):
+    schema = "order_purchase_timestamp TIMESTAMP, order_estimated_delivery_date TIMESTAMP"
+    # an estimate before the purchase (or a missing one) still leaves the purchase day in the dimension
+    rev = spark.createDataFrame([(T(2018, 2, 1), T(2018, 1, 1)), (T(2018, 2, 3), None)], schema)
+    assert sorted(r.date_key for r in model.dim_date(rev).collect()) == [20180201, 20180202, 20180203]
+    none = spark.createDataFrame([(None, None)], schema)
+    assert model.dim_date(none).count() == 0
 
 
 def _silver(spark):
@@ -138,3 +139,14 @@ def test_money_sums_do_not_depend_on_partitioning(spark):
     df = spark.createDataFrame(vals, "v DOUBLE")
     totals = {df.repartition(n).agg(money_total("v").alias("t")).first().t for n in (1, 3, 7, 16)}
     assert totals == {200000124.0}
+
+
+def test_money_totals_fall_back_to_doubles_for_nan_and_huge_values(spark):
+    from stratum.functions.money import money_sum, money_total
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("b", 2e12), ("b", 1.0), ("c", 0.1), ("c", 0.2)],
+                               "k STRING, v DOUBLE")
+    out = {r.k: (r.s, r.t) for r in df.groupBy("k").agg(money_sum("v").alias("s"),
+                                                          money_total("v").alias("t")).collect()}
+    assert out["a"][0] != out["a"][0]                     # NaN poisons the total, as a double sum does
+    assert out["b"] == (2e12 + 1.0, 2e12 + 1.0)           # beyond the decimal range: no abort, double sum
+    assert out["c"] == (0.3, 0.3)                         # exact: 0.1 + 0.2 is 0.3, not 0.30000000000000004

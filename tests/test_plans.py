@@ -49,8 +49,8 @@ def test_unique_and_reference_checks_aggregate_map_side(spark):
 
 def test_rollups_are_partial_aggregates_and_joins_share_order_id(spark):
     text = plan(registry.q_fact_orders(spark, SF_SMALL))
-    for fn in ("partial_count(1), partial_sum(cast(price as decimal(18,6)))",
-               "partial_sum(cast(payment_value as decimal(18,6)))", "partial_avg(review_score)"):
+    for fn in ("partial_count(1), partial_count(", "partial_sum(try_cast(price as decimal(18,6)))",
+               "partial_sum(try_cast(payment_value as decimal(18,6)))", "partial_avg(review_score)"):
         assert fn in text
 
 

@@ -91,3 +91,32 @@ def test_cluster_settings_scale_with_input_and_respect_existing_values(spark):
     assert int(cluster_settings(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200   # floor for small inputs
     applied = apply_settings(spark, {"spark.sql.shuffle.partitions": "999"})
     assert applied == {} and spark.conf.get("spark.sql.shuffle.partitions") != "999"
+
+
+def test_csv_sink_keeps_spaces_and_fractional_seconds(spark, tmp_root):
+    from datetime import datetime
+    from stratum.contracts import ORDERS
+    df = spark.createDataFrame([("o1", "c1", " Delivered ", datetime(2018, 1, 1, 10, 0, 0, 500000), None, None, None,
+                                 None)], ORDERS.schema)
+    write_csv(df, f"{tmp_root}/orders")
+    back = read_contract_csv(spark, ORDERS, f"{tmp_root}/orders", metadata=False).first()
+    assert back.order_status == " Delivered " and back.order_purchase_timestamp.microsecond == 500000
+
+
+def test_local_scratch_is_refused_on_a_cluster_master():
+    from stratum.session import _require_local
+    _require_local("local[8]")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        _require_local("spark://cluster:7077")
+
+
+def test_catalog_table_of_another_lake_is_not_read(spark, tmp_root):
+    a = TableStore(f"file://{tmp_root}/a", database="shared_db_test")
+    b = TableStore(f"file://{tmp_root}/b", database="shared_db_test")
+    t = spark.range(10).withColumn("order_id", F.col("id").cast("string"))
+    a.write(t, "silver", "orders", bucket_by=["order_id"], buckets=2)
+    b_rows = spark.range(3).withColumn("order_id", F.col("id").cast("string"))
+    b_rows.write.mode("overwrite").parquet(b.path("silver", "orders"))
+    assert b.read(spark, "silver", "orders").count() == 3          # its own files, not lake a's table
+    with pytest.raises(ValueError, match="another lake"):
+        b.write(b_rows, "silver", "orders", bucket_by=["order_id"], buckets=2)
