@@ -18,24 +18,26 @@ class TableSpec:
     layer: str
     name: str
     upstream: tuple[str, ...]
+    entity: str | None = None      # the source contract whose owner owns this table; None: shared analytics
 
 
-# Lineage of every silver and gold table (table -> upstream tables, main input first).
+# Lineage of every silver and gold table (upstream tables, main input first) and the source entity
+# each table belongs to (its owner comes from that entity's contract).
 TABLE_SPECS = (
-    TableSpec("silver", "orders", ("bronze.orders",)),
-    TableSpec("silver", "order_items", ("bronze.order_items",)),
-    TableSpec("silver", "customers", ("bronze.customers",)),
-    TableSpec("silver", "sellers", ("bronze.sellers",)),
-    TableSpec("silver", "products", ("bronze.products", "bronze.category_translation")),
-    TableSpec("silver", "payments", ("bronze.payments",)),
-    TableSpec("silver", "reviews", ("bronze.reviews",)),
-    TableSpec("gold", "dim_customer", ("silver.customers",)),
-    TableSpec("gold", "dim_seller", ("silver.sellers",)),
-    TableSpec("gold", "dim_product", ("silver.products",)),
+    TableSpec("silver", "orders", ("bronze.orders",), "orders"),
+    TableSpec("silver", "order_items", ("bronze.order_items",), "order_items"),
+    TableSpec("silver", "customers", ("bronze.customers",), "customers"),
+    TableSpec("silver", "sellers", ("bronze.sellers",), "sellers"),
+    TableSpec("silver", "products", ("bronze.products", "bronze.category_translation"), "products"),
+    TableSpec("silver", "payments", ("bronze.payments",), "payments"),
+    TableSpec("silver", "reviews", ("bronze.reviews",), "reviews"),
+    TableSpec("gold", "dim_customer", ("silver.customers",), "customers"),
+    TableSpec("gold", "dim_seller", ("silver.sellers",), "sellers"),
+    TableSpec("gold", "dim_product", ("silver.products",), "products"),
     TableSpec("gold", "dim_date", ("silver.orders",)),
     TableSpec("gold", "fact_orders", ("silver.orders", "silver.customers", "silver.order_items", "silver.payments",
-                                      "silver.reviews")),
-    TableSpec("gold", "fact_order_items", ("silver.order_items", "silver.orders", "silver.customers")),
+                                      "silver.reviews"), "orders"),
+    TableSpec("gold", "fact_order_items", ("silver.order_items", "silver.orders", "silver.customers"), "order_items"),
     TableSpec("gold", "mart_daily_kpis", ("gold.fact_orders",)),
 )
 
@@ -43,12 +45,10 @@ DEFAULT_OWNER = "analytics"
 
 
 def owner_of(name: str) -> str:
-    """V9: the contract owner of the table, else of its base entity (dim_/fact_ stripped, plural), else analytics."""
-    owners = {c.name: c.owner for c in SOURCES.values()}
-    if name in owners:
-        return owners[name]
-    base = name.removeprefix("dim_").removeprefix("fact_").rstrip("s") + "s"
-    return owners.get(base, DEFAULT_OWNER)
+    """V9: the owner of the table's entity contract; tables without one (dates, marts) belong to analytics."""
+    spec = next((s for s in TABLE_SPECS if s.name == name), None)
+    entity = spec.entity if spec else (name if name in SOURCES else None)
+    return SOURCES[entity].owner if entity in SOURCES else DEFAULT_OWNER
 
 
 def lineage_edges(spark) -> DataFrame:

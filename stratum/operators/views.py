@@ -2,8 +2,8 @@
 
 Money totals are exact DECIMAL sums rounded once (see ``functions.money``).
 
-Views are Spark SQL over the gold tables registered as temporary views, so analyst queries keep the full Catalyst
-path (pruning, pushdown, AQE) and stay distributed; nothing is loaded into a single-process database.
+The gold tables and the analyst views are registered as temporary views, so analyst SQL keeps the full Catalyst
+path (pruning, pushdown, AQE) and stays distributed; nothing is loaded into a single-process database.
 """
 from __future__ import annotations
 
@@ -13,36 +13,6 @@ from pyspark.sql import functions as F
 from ..contracts import pii_columns
 from ..functions.money import money_sum, money_total
 
-def _money_total_sql(x: str, digits: int = 2) -> str:
-    """``functions.money.money_total`` in SQL: exact DECIMAL total, double fallback for non-decimal values."""
-    dec = f"try_cast({x} AS DECIMAL(18,6))"
-    return (f"CASE WHEN COUNT_IF({x} IS NOT NULL AND {dec} IS NULL) = 0 THEN CAST(ROUND(SUM({dec}), {digits}) AS DOUBLE) "
-            f"ELSE ROUND(SUM({x}), {digits}) END")
-
-
-def _money_sum_sql(x: str) -> str:
-    dec = f"try_cast({x} AS DECIMAL(18,6))"
-    return f"CASE WHEN COUNT_IF({x} IS NOT NULL AND {dec} IS NULL) = 0 THEN CAST(SUM({dec}) AS DOUBLE) ELSE SUM({x}) END"
-
-
-VIEW_SQL = {
-    # V1: late_share counts an undelivered order (NULL is_late) as on time, unlike the mart's late_share.
-    "v_monthly_revenue": """
-        SELECT d.year, d.month, COUNT(*) AS orders, {money_total_payment} AS revenue,
-               ROUND(AVG(CASE WHEN f.is_late THEN 1 ELSE 0 END), 4) AS late_share
-        FROM {fact_orders} f JOIN {dim_date} d ON d.date_key = f.purchase_date_key
-        GROUP BY d.year, d.month ORDER BY d.year, d.month""",
-    # V2: the rank runs over one row per category, after the aggregation.
-    "v_category_performance": """
-        SELECT p.category, COUNT(*) AS items, {money_total_price} AS revenue,
-               RANK() OVER (ORDER BY {money_sum_price} DESC) AS revenue_rank
-        FROM {fact_order_items} i JOIN {dim_product} p USING (product_key)
-        GROUP BY p.category""",
-    # V3: city-level data only; zip code and the person id are left out.
-    "v_customers_masked": """
-        SELECT customer_key, customer_city, customer_state FROM {dim_customer}""",
-}
-
 GOLD_VIEW_PREFIX = "gold_"
 
 
@@ -57,19 +27,23 @@ def register_gold(gold: dict[str, DataFrame], prefix: str = GOLD_VIEW_PREFIX) ->
 
 
 def create_views(spark: SparkSession, gold: dict[str, DataFrame], prefix: str = GOLD_VIEW_PREFIX) -> dict[str, DataFrame]:
-    """V4: create-or-replace every analyst view over the gold tables; returns view name -> DataFrame."""
-    names = register_gold(gold, prefix)
-    out = {}
-    for view, sql in VIEW_SQL.items():
-        sql = sql.format(**names, money_total_payment=_money_total_sql("f.payment_value"),
-                         money_total_price=_money_total_sql("i.price"), money_sum_price=_money_sum_sql("i.price"))
-        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS {sql}")
-        out[view] = spark.table(view)
-    return out
+    """V4: create-or-replace the analyst views over the gold tables; returns view name -> DataFrame.
+
+    Each view is the DataFrame of its function below registered under its name, so SQL users query
+    ``v_monthly_revenue`` etc. and DataFrame users call the functions; both get the same plan.
+    """
+    register_gold(gold, prefix)
+    out = {"v_monthly_revenue": monthly_revenue(gold["fact_orders"], gold["dim_date"]),
+           "v_category_performance": category_performance(gold["fact_order_items"], gold["dim_product"]),
+           "v_customers_masked": customers_masked(gold["dim_customer"])}
+    for view, df in out.items():
+        df.createOrReplaceTempView(view)
+    return {view: spark.table(view) for view in out}
 
 
 def monthly_revenue(facts: DataFrame, dates: DataFrame) -> DataFrame:
-    """V1 with the DataFrame API (same plan as the SQL view)."""
+    """V1: orders and revenue per calendar month of purchase. Its late_share counts an undelivered order (NULL
+    is_late) as on time, unlike the mart's, which leaves those orders out."""
     j = facts.join(dates, dates.date_key == facts.purchase_date_key)
     return (j.groupBy(dates.year, dates.month)
             .agg(F.count(F.lit(1)).alias("orders"), money_total(facts.payment_value).alias("revenue"),
@@ -78,7 +52,8 @@ def monthly_revenue(facts: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
-    """V2: aggregate first, then rank the (few) categories in one window partition."""
+    """V2: lines and revenue per product category, ranked by revenue. The rank runs after the aggregation, over
+    one row per category, so its single window partition stays small."""
     from pyspark.sql import Window
     per = (items.join(products, "product_key").groupBy("category")
            .agg(F.count(F.lit(1)).alias("items"), money_sum("price").alias("_rev"),

@@ -42,7 +42,7 @@ def test_every_stage_runs_and_counts_line_up(spark, ran):
     assert summary["quality_gold"]["failed_errors"] == 0 and summary["quality_gold"]["checks"] == 9
 
 
-def test_star_schema_grain_and_keys(spark, ran):
+def test_fact_grains_are_unique(spark, ran):
     _, store, summary, _ = ran
     facts = store.read(spark, "gold", "fact_orders")
     assert facts.count() == facts.select("order_id").distinct().count()
@@ -51,7 +51,7 @@ def test_star_schema_grain_and_keys(spark, ran):
     assert summary["gold"]["dim_date"] > 0 and summary["gold"]["mart_daily_kpis"] > 0
 
 
-def test_warehouse_views_answer_questions_and_mask_pii(spark, ran):
+def test_analyst_views_sum_to_the_facts_and_hide_zip(spark, ran):
     _, _, summary, _ = ran
     months = spark.sql("SELECT sum(orders) AS n FROM v_monthly_revenue").first().n
     assert months == summary["gold"]["fact_orders"]
@@ -60,7 +60,7 @@ def test_warehouse_views_answer_questions_and_mask_pii(spark, ran):
     assert summary["warehouse"]["fact_orders"] == summary["gold"]["fact_orders"]
 
 
-def test_catalog_records_lineage_owners_and_pii(spark, ran):
+def test_catalog_lists_upstreams_owners_and_pii_tags(spark, ran):
     _, store, _, _ = ran
     cat = {r.table: r for r in spark.read.json(store.path("reports", "catalog")).collect()}
     assert len(cat) == 14 and cat["gold.fact_orders"].upstream[0] == "silver.orders"
@@ -79,7 +79,7 @@ def test_quality_reports_are_written(spark, ran):
     assert spark.read.json(store.path("reports", "quality_silver")).count() == 13
 
 
-def test_gold_gate_stops_the_pipeline_on_a_broken_fact(spark, ran):
+def test_duplicated_fact_row_fails_the_gold_gate(spark, ran):
     job, store, _, _ = ran
     facts = store.read(spark, "gold", "fact_orders")
     store.rewrite(facts.unionByName(facts.orderBy("order_id").limit(1)), "gold", "fact_orders")
