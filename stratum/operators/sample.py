@@ -42,3 +42,16 @@ def slice_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def write_slice(tables: dict[str, DataFrame], out_dir: str, files: dict[str, str] | None = None) -> dict[str, str]:
+    """S17+S19: write every member of the slice as a headed CSV folder named after its contract file, ready for
+    strict ingestion (``LakeJob(raw_dir=out_dir)``); returns source -> path."""
+    from ..contracts import SOURCES
+    from ..sources.files import write_csv
+    paths = {}
+    for name, df in tables.items():
+        path = f"{out_dir.rstrip('/')}/{(files or {}).get(name, SOURCES[name].file)}"
+        write_csv(df, path)
+        paths[name] = path
+    return paths

@@ -110,13 +110,17 @@ def test_csv_sources_round_trip_through_strict_bronze(spark, ran, tmp_root):
     assert out["rows"]["payments"] == src["payments"].count()
 
 
-def test_sample_slice_is_referentially_consistent(spark):
+def test_sample_slice_is_referentially_consistent_and_ingests_back(spark, tmp_root):
+    from stratum.operators.sample import write_slice
     src = standin.sources(spark, SF_SMALL)
     s = sample_slice(src, n=100)
     assert s["orders"].count() == 100
     ids = s["orders"].select("order_id")
     assert s["order_items"].join(ids, "order_id", "left_anti").count() == 0
     assert s["sellers"].count() == s["order_items"].select("seller_id").distinct().count()
+    write_slice(s, f"{tmp_root}/raw")
+    counts = LakeJob(spark, TableStore(f"file://{tmp_root}/lake"), raw_dir=f"file://{tmp_root}/raw").bronze()
+    assert counts["orders"] == 100 and counts["order_items"] == s["order_items"].count()
 
 
 def test_run_writes_a_summary(spark, tmp_root):
