@@ -21,15 +21,20 @@ def sample_slice(src: dict[str, DataFrame], n: int = 2000,
     # the key sets have at most n rows: broadcast them while n is within the broadcast bound, else shuffle
     small = (lambda df: F.broadcast(df)) if n <= BROADCAST_MAX_ROWS else (lambda df: df)
     ids = small(orders.select("order_id"))
-    items = src["order_items"].join(ids, "order_id", "left_semi")
+
+    def members(name: str, keys: DataFrame, key: str) -> DataFrame:
+        # a USING join puts the key column first; keep the source's column order (strict CSV checks the header)
+        return src[name].join(keys, key, "left_semi").select(*src[name].columns)
+
+    items = members("order_items", ids, "order_id")
     return {
         "orders": orders,
         "order_items": items,
-        "payments": src["payments"].join(ids, "order_id", "left_semi"),
-        "reviews": src["reviews"].join(ids, "order_id", "left_semi"),
-        "customers": src["customers"].join(small(orders.select("customer_id")), "customer_id", "left_semi"),
-        "sellers": src["sellers"].join(items.select("seller_id"), "seller_id", "left_semi"),
-        "products": src["products"].join(items.select("product_id"), "product_id", "left_semi"),
+        "payments": members("payments", ids, "order_id"),
+        "reviews": members("reviews", ids, "order_id"),
+        "customers": members("customers", small(orders.select("customer_id")), "customer_id"),
+        "sellers": members("sellers", items.select("seller_id"), "seller_id"),
+        "products": members("products", items.select("product_id"), "product_id"),
         "category_translation": src["category_translation"],
     }
 
