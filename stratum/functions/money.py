@@ -25,6 +25,13 @@ def _exact(c: Column):
     return F.sum(as_dec), F.count_if(c.isNotNull() & as_dec.isNull()) == 0
 
 
+def money_exact(c) -> Column:
+    """The exact DECIMAL total, or NULL when a value has no decimal form (for ordering by exact amounts)."""
+    c = _col(c)
+    exact, ok = _exact(c)
+    return F.when(ok, exact)
+
+
 def money_sum(c) -> Column:
     """Exact sum as DOUBLE (the double nearest the exact decimal total)."""
     c = _col(c)

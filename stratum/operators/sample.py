@@ -2,19 +2,29 @@
 
 The first ``n`` orders by purchase time (ties by order_id) and every row that belongs to them: lines, payments and
 reviews of those orders, their customers, and the sellers and products their lines reference. The top-n is a
-``TakeOrderedAndProject`` (each partition keeps its own top n), computed once and checkpointed (n rows), and every
-member table is cut with a left-semi join against that bounded key set, so no large table is shuffled.
+``TakeOrderedAndProject`` (each partition keeps its own top n), computed once and checkpointed (n rows); the lines
+of those orders are cut once and checkpointed too, and every member table is cut with a left-semi join against a
+bounded key set, broadcast when it is proven small, so no large table is shuffled.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import BROADCAST_MAX_ROWS
+from ..session import ensure_checkpoint_dir
+from .joins import BROADCAST_MAX_ROWS, broadcast_if_bounded
+
+
+# Largest sample: the top n is a TakeOrderedAndProject, where every task keeps n rows in memory.
+MAX_SAMPLE_ROWS = 5_000_000
 
 
 def sample_slice(src: dict[str, DataFrame], n: int = 2000,
                  order_col: str = "order_purchase_timestamp") -> dict[str, DataFrame]:
+    if n > MAX_SAMPLE_ROWS:
+        raise ValueError(f"sample of {n} orders: the top-n keeps n rows per task; use at most {MAX_SAMPLE_ROWS}")
+    spark = src["orders"].sparkSession
+    ensure_checkpoint_dir(spark)
     # the top n is computed once: a reliable checkpoint of its n rows, reused by every member's semi-join
     orders = (src["orders"].orderBy(F.col(order_col).asc_nulls_last(), F.col("order_id").asc_nulls_last())
               .limit(n).checkpoint(eager=True))
@@ -26,15 +36,17 @@ def sample_slice(src: dict[str, DataFrame], n: int = 2000,
         # a USING join puts the key column first; keep the source's column order (strict CSV checks the header)
         return src[name].join(keys, key, "left_semi").select(*src[name].columns)
 
-    items = members("order_items", ids, "order_id")
+    # the lines of the sampled orders are cut once; sellers and products are then cut by their distinct ids,
+    # broadcast when their count is proven small
+    items = members("order_items", ids, "order_id").checkpoint(eager=True)
     return {
         "orders": orders,
         "order_items": items,
         "payments": members("payments", ids, "order_id"),
         "reviews": members("reviews", ids, "order_id"),
         "customers": members("customers", small(orders.select("customer_id")), "customer_id"),
-        "sellers": members("sellers", items.select("seller_id"), "seller_id"),
-        "products": members("products", items.select("product_id"), "product_id"),
+        "sellers": members("sellers", broadcast_if_bounded(items.select("seller_id").distinct()), "seller_id"),
+        "products": members("products", broadcast_if_bounded(items.select("product_id").distinct()), "product_id"),
         "category_translation": src["category_translation"],
     }
 
@@ -56,7 +68,8 @@ def write_slice(tables: dict[str, DataFrame], out_dir: str, files: dict[str, str
     from ..sources.files import write_csv
     paths = {}
     for name, df in tables.items():
-        path = f"{out_dir.rstrip('/')}/{(files or {}).get(name, SOURCES[name].file)}"
+        file = (files or {}).get(name) or SOURCES[name].file
+        path = f"{out_dir.rstrip('/')}/{file}"
         write_csv(df, path)
         paths[name] = path
     return paths

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import pii_columns
-from ..functions.money import money_sum, money_total
+from ..functions.money import money_exact, money_sum, money_total
 
 GOLD_VIEW_PREFIX = "gold_"
 
@@ -57,9 +57,10 @@ def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
     from pyspark.sql import Window
     per = (items.join(products, "product_key").groupBy("category")
            .agg(F.count(F.lit(1)).alias("items"), money_sum("price").alias("_rev"),
-                money_total("price").alias("revenue")))
+                money_exact("price").alias("_rev_exact"), money_total("price").alias("revenue")))
     return per.select("category", "items", "revenue",
-                      F.rank().over(Window.orderBy(F.col("_rev").desc())).alias("revenue_rank"))
+                      F.rank().over(Window.orderBy(F.col("_rev_exact").desc_nulls_last(), F.col("_rev").desc()))
+                      .alias("revenue_rank"))
 
 
 def mask(df: DataFrame, policy: dict[str, str] | None = None, pii: frozenset[str] | None = None,

@@ -14,7 +14,8 @@ from ..sources import standin
 
 
 def R(x: str, n: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
+    """Spark's round(double): HALF_UP once on the double's shortest decimal text (DuckDB prints that text too)."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {n}) AS DOUBLE)"
 
 
 def MS(x: str) -> str:

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 class TableStore:
     def __init__(self, root: str, database: str | None = None):
+        import os
+        from urllib.parse import urlparse
+        if not urlparse(root).scheme and not root.startswith("/"):
+            root = os.path.abspath(root)       # catalog tables resolve relative paths elsewhere (the warehouse)
         self.root = root.rstrip("/")
         self.database = database
 
@@ -70,24 +74,29 @@ class TableStore:
             (writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).format(fmt)
              .option("path", self.path(layer, name)).saveAsTable(self.table_name(layer, name)))
         else:
-            if self.database:        # a plain write replaces any bucketed registration of the same table
+            # a plain write replaces this lake's own bucketed registration of the table (never another lake's)
+            if _same_path(self._registered_location(df.sparkSession, layer, name), self.path(layer, name)):
                 df.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table_name(layer, name)}")
             writer.format(fmt).save(self.path(layer, name))
         return int(obs.get["rows"])
 
-    def rewrite(self, df: DataFrame, layer: str, name: str, partition_by: str | list[str] | None = None) -> int:
+    def rewrite(self, df: DataFrame, layer: str, name: str, partition_by: str | list[str] | None = None,
+                bucket_by: list[str] | None = None, buckets: int | None = None) -> int:
         """Overwrite a table with a frame that reads from it.
 
         The frame is materialised with a reliable ``checkpoint()`` (written under the session's checkpoint
         directory, shared storage on a cluster) before the old files are deleted, so the plan no longer reads them.
         """
-        return self.write(df.checkpoint(eager=True), layer, name, partition_by)
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        return self.write(df.checkpoint(eager=True), layer, name, partition_by, bucket_by=bucket_by, buckets=buckets)
 
 
 def _same_path(a: str | None, b: str) -> bool:
-    """Compare locations, ignoring how a local path is spelled (file:/x, file:///x, /x) and trailing slashes."""
-    import re
+    """Compare locations by their path, ignoring how scheme and authority are spelled (file:/x, file:///x, /x,
+    hdfs:///x, hdfs://nn:8020/x) and trailing slashes."""
+    from urllib.parse import urlparse
     if a is None:
         return False
-    norm = lambda p: re.sub(r"^file:/+", "/", p).rstrip("/")
+    norm = lambda p: "/" + urlparse(p).path.strip("/")
     return norm(a) == norm(b)

@@ -150,3 +150,12 @@ def test_money_totals_fall_back_to_doubles_for_nan_and_huge_values(spark):
     assert out["a"][0] != out["a"][0]                     # NaN poisons the total, as a double sum does
     assert out["b"] == (2e12 + 1.0, 2e12 + 1.0)           # beyond the decimal range: no abort, double sum
     assert out["c"] == (0.3, 0.3)                         # exact: 0.1 + 0.2 is 0.3, not 0.30000000000000004
+
+
+def test_category_rank_uses_exact_totals(spark):
+    # the exact totals differ by 1e-6, but both double sums round to the same double near 1e10
+    items = spark.createDataFrame([("a", 9999999999.0), ("a", 0.000001), ("b", 9999999999.0), ("b", 0.000002)],
+                                  "product_key STRING, price DOUBLE")
+    products = spark.createDataFrame([("a", "x"), ("b", "y")], "product_key STRING, category STRING")
+    ranks = {r.category: r.revenue_rank for r in views.category_performance(items, products).collect()}
+    assert ranks == {"y": 1, "x": 2}

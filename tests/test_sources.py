@@ -120,3 +120,10 @@ def test_catalog_table_of_another_lake_is_not_read(spark, tmp_root):
     assert b.read(spark, "silver", "orders").count() == 3          # its own files, not lake a's table
     with pytest.raises(ValueError, match="another lake"):
         b.write(b_rows, "silver", "orders", bucket_by=["order_id"], buckets=2)
+
+
+def test_catalog_paths_compare_by_path_and_relative_roots_become_absolute():
+    from stratum.sources.tables import _same_path
+    assert _same_path("hdfs://nn:8020/lake/silver/orders", "hdfs:///lake/silver/orders/")
+    assert _same_path("file:/tmp/x", "/tmp/x") and not _same_path("file:/tmp/x", "/tmp/y")
+    assert TableStore("lake/rel").root.startswith("/")
