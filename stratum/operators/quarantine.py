@@ -4,8 +4,9 @@ A rule is a predicate that marks a row *bad* plus the reason recorded for it. Ru
 first rule that is TRUE names the reason. A predicate that evaluates to NULL does not reject (three-valued logic), so
 rows with a NULL status, price or score pass unless a rule tests for NULL explicitly.
 
-The rules become one chained ``CASE WHEN`` column, so flagging is a single projection inside whole-stage codegen;
-good and rejected rows are two filters over the same flagged frame.
+The rules become one chained ``CASE WHEN`` column, so flagging is a single projection inside whole-stage codegen.
+Good rows are the flagged rows without a reason; rejected rows are selected by the OR of the rules first (which a
+Parquet scan can take as a pushed filter) and then given their reason.
 """
 from __future__ import annotations
 
