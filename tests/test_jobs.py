@@ -147,3 +147,14 @@ def test_command_line_runs_selected_stages(spark, tmp_root):
                 spark.conf.set(k, v)
     assert list(summary) == ["bronze", "silver", "gold"]
     assert summary["gold"]["result"]["fact_orders"] == summary["silver"]["result"]["rows"]["orders"]
+
+
+def test_raw_file_names_can_be_mapped(spark, tmp_root):
+    from stratum.contracts import SOURCES
+    from stratum.operators.sample import sample_slice, write_slice
+    s = sample_slice(standin.sources(spark, SF_SMALL), n=20)
+    names = {n: f"export_{n}_v2.csv" for n in SOURCES}
+    write_slice(s, f"{tmp_root}/raw", files=names)
+    job = LakeJob(spark, TableStore(f"file://{tmp_root}/lake"), raw_dir=f"file://{tmp_root}/raw", raw_files=names,
+                  csv_multi_line=False)
+    assert job.bronze()["orders"] == 20
