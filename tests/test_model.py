@@ -159,3 +159,18 @@ def test_category_rank_uses_exact_totals(spark):
     products = spark.createDataFrame([("a", "x"), ("b", "y")], "product_key STRING, category STRING")
     ranks = {r.category: r.revenue_rank for r in views.category_performance(items, products).collect()}
     assert ranks == {"y": 1, "x": 2}
+
+
+def test_encoded_first_payment_matches_the_generic_rollup(spark):
+    import pytest
+    from stratum.contracts import PAYMENT_TYPES
+    rows = [("o1", 2, "voucher"), ("o1", 1, "boleto"), ("o1", 1, "credit_card"), ("o2", 3, None), ("o2", 3, "boleto"),
+            ("o3", None, "voucher"), ("o3", 1, "boleto"), ("o4", 5, None), ("o5", 2, "debit_card")]
+    df = spark.createDataFrame([(o, s, t, 1.0) for o, s, t in rows],
+                               "order_id STRING, payment_sequential INT, payment_type STRING, payment_value DOUBLE")
+    generic = {r.order_id: r.payment_type for r in model.payment_rollup(df).collect()}
+    encoded = {r.order_id: r.payment_type for r in model.payment_rollup(df, PAYMENT_TYPES).collect()}
+    assert encoded == generic == {"o1": "boleto", "o2": None, "o3": "voucher", "o4": None, "o5": "debit_card"}
+    bad = df.union(spark.createDataFrame([("o9", 1, "pix", 1.0)], df.schema))
+    with pytest.raises(Exception, match="outside the declared domain"):
+        model.payment_rollup(bad, PAYMENT_TYPES).collect()
