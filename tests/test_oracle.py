@@ -59,3 +59,12 @@ def test_materialized_lake_gives_the_same_checks(spark, con):
         spark.conf.unset(MATERIALIZE_CONF)
     res = con.execute(ORACLE["quality_report"])
     assert rows_of(cols, srows) == rows_of([d[0] for d in res.description], res.fetchall())
+
+
+def test_entry_pins_utc_so_results_do_not_depend_on_the_session_zone(spark, con):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    df = QUERIES["hourly_windows"](spark, SF_SMALL)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    res = con.execute(ORACLE["hourly_windows"])
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of([d[0] for d in res.description],
+                                                                            res.fetchall())
