@@ -158,3 +158,11 @@ def test_raw_file_names_can_be_mapped(spark, tmp_root):
     job = LakeJob(spark, TableStore(f"file://{tmp_root}/lake"), raw_dir=f"file://{tmp_root}/raw", raw_files=names,
                   csv_multi_line=False)
     assert job.bronze()["orders"] == 20
+
+
+def test_machine_local_lake_is_refused_on_a_cluster():
+    from stratum.plans.jobs import _require_shared_root
+    _require_shared_root("file:///tmp/lake", "local[8]")
+    _require_shared_root("s3a://bucket/lake", "spark://cluster:7077")
+    with pytest.raises(ValueError, match="machine-local"):
+        _require_shared_root("file:///tmp/lake", "spark://cluster:7077")
