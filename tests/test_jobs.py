@@ -166,3 +166,14 @@ def test_machine_local_lake_is_refused_on_a_cluster():
     _require_shared_root("s3a://bucket/lake", "spark://cluster:7077")
     with pytest.raises(ValueError, match="machine-local"):
         _require_shared_root("file:///tmp/lake", "spark://cluster:7077")
+
+
+def test_contract_checks_add_warnings_to_the_silver_report(spark, tmp_root):
+    job = LakeJob(spark, TableStore(f"file://{tmp_root}/lake"), sources=standin.sources(spark, SF_SMALL),
+                  contract_checks=True, enforce_gates=("gold",))
+    job.bronze()
+    job.silver()
+    out = job.quality("silver")
+    names = {(r["table"], r["name"]): r for r in out["results"]}
+    dup = names[("payments", "unique:order_id+payment_sequential")]
+    assert out["checks"] > 13 and dup["severity"] == "warn" and dup["failed"] > 0
