@@ -78,3 +78,35 @@ def task_number() -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_IMPORTABLE: set[str] = set()
+
+
+def ensure_importable(spark: SparkSession) -> None:
+    """Python tasks need this package. Where executors cannot import it (the session was not given it with
+    ``--py-files`` or the like), ship the package's source files once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _IMPORTABLE:
+        return
+
+    def probe(batches):
+        import importlib.util
+        found = importlib.util.find_spec("stratum") is not None
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([found])], names=["found"])
+
+    probe.__module__ = "__main__"       # sent by value: the point is to find out whether the module is there
+    if not spark.range(0, 1, 1, 1).mapInArrow(probe, "found boolean").first()[0]:
+        import tempfile
+        import zipfile
+        from pathlib import Path
+
+        import stratum
+        root = Path(stratum.__file__).parent
+        archive = f"{tempfile.mkdtemp(prefix='stratum-src-')}/stratum.zip"     # on the driver; Spark sends it out
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(root.rglob("*.py")):
+                z.write(file, f"stratum/{file.relative_to(root)}")
+        spark.sparkContext.addPyFile(archive)
+    _IMPORTABLE.add(app)
