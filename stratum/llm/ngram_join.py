@@ -6,7 +6,8 @@ Jaccard distance is a metric, and the join partitions by it, first coarsely, the
 pivots are single shingles, in one global order (rare before frequent, by a fixed-size sketch of shingle counts): a
 document is nearest to the pivots it holds, and its window reaches over the first n - ceil(0.8 n) + 1 of them. Two sets
 within distance 0.2 share at least ceil(0.8 n) shingles, so their windows meet: each linked pair is in a common
-region. Documents that meet nobody in any region are done. What hangs together through regions forms a family.
+region. Documents that meet nobody in any region are done. Pairs whose windows share too little to reach 80 percent
+are ruled out by counting; what may still hang together forms a family.
 
 *Recursion.* A family of bounded size is joined in one task, exactly, by a product of its incidence matrix with
 itself. A larger one gets document pivots: each document goes to its nearest pivot's Voronoi cell and, by the triangle
@@ -34,12 +35,13 @@ from pyspark.sql import functions as F
 
 from . import kernel
 from .components import connected_components
-from .tables import ARRAY_SCHEMA, add_arrays, array_rows, cut, task_number
+from .tables import ARRAY_SCHEMA, add_arrays, array_rows, cut, small_batches, task_number
 
 SHINGLE = 5
 PERCENT = 80
 SKETCH_BITS = 18
 FILTER_BITS = 24
+REGION = 64           # documents of a region up to which its pairs are weighed one by one
 FAMILY = 1024         # documents that one task joins at once
 PIVOTS = 8
 DEPTH = 4
@@ -143,6 +145,41 @@ def _windows(documents: DataFrame, order: np.ndarray, size: int) -> DataFrame:
     return documents.mapInArrow(run, "id long, n long, whole long, win array<long>")
 
 
+def _meetings(met: DataFrame) -> DataFrame:
+    """(a, b): pairs of documents that may be linked, or that hang together through a region too large for pairs.
+
+    ``met`` holds (shingle, whole, n, pos) of the regions with two documents or more. Let x and y share the fraction
+    asked for: then at least 4/9 (|x| + |y|) shingles. If their first common one stands at pos, at most n - pos are left
+    on either side. And of the common ones, those up to the end of the window that ends first lie in both windows; so
+    they share at most c + max(n - window) with c common window shingles. Regions of up to ``REGION`` documents are
+    paired under these bounds; in larger ones every document that can have a partner is tied to the first one."""
+    sizes = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("m"), F.min("whole").alias("pivot"), F.min("n").alias("least"))
+    sizes = cut(sizes, "ngram-region-sizes")
+    big = met.join(sizes.where(F.col("m") > REGION), "shingle")
+    # the set of the smallest region mate is too large already: no partner can be first met here
+    reachable = F.col("least") * 4 <= 9 * (F.col("n") - F.col("pos")) - 4 * F.col("n")
+    tied = big.where(reachable).select(F.col("whole").alias("a"), F.col("pivot").alias("b"))
+    in_big = cut(big.groupBy("whole").agg(F.count(F.lit(1)).alias("g")), "ngram-in-big")
+    small = cut(met.join(sizes.where(F.col("m") <= REGION).select("shingle"), "shingle"), "ngram-small")
+    x = small.select("shingle", F.col("whole").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
+    y = small.select(F.col("shingle").alias("same"), F.col("whole").alias("b"), F.col("n").alias("nb"),
+                     F.col("pos").alias("pb"))
+    smaller, larger = F.least("na", "nb"), F.greatest("na", "nb")
+    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    pairs = x.join(y, (F.col("shingle") == F.col("same")) & (F.col("a") < F.col("b"))
+                   & (smaller * 100 >= PERCENT * larger)).groupBy("a", "b", "na", "nb").agg(
+        F.count(F.lit(1)).alias("c"), F.max(rest).alias("rest"))
+    window = lambda n: n - F.floor((PERCENT * n + 99) / 100) + 1
+    pairs = pairs.join(in_big.select(F.col("whole").alias("a"), F.col("g").alias("ga")), "a", "left").join(
+        in_big.select(F.col("whole").alias("b"), F.col("g").alias("gb")), "b", "left")
+    unseen = F.least(F.coalesce("ga", F.lit(0)), F.coalesce("gb", F.lit(0)))    # common ones in large regions
+    most = F.col("c") + unseen + F.greatest(F.col("na") - window(F.col("na")), F.col("nb") - window(F.col("nb")))
+    # where no large region can hold an earlier common shingle, the first one met bounds the rest as well
+    fits = (9 * most >= 4 * (F.col("na") + F.col("nb"))) & (
+        (unseen > 0) | (9 * F.col("rest") >= 4 * (F.col("na") + F.col("nb"))))
+    return tied.union(pairs.where(fits).select("a", "b"))
+
+
 def _bits(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h = kernel.mix(values.astype(np.uint64))
     limit = np.uint64((1 << FILTER_BITS) - 1)
@@ -317,7 +354,8 @@ def _join_families(sets: DataFrame, family: int, depth_limit: int) -> DataFrame:
         if depth == depth_limit:
             links.append(cut(_join_blocks(large.drop("size"), big, family), "ngram-links"))
             break
-        split = cut(_split(large, depth), "ngram-cells")
+        with small_batches(sets.sparkSession, 256):     # a row carries its set and those of the pivots
+            split = cut(_split(large, depth), "ngram-cells")
         links.append(split.where(F.col("a").isNotNull()).select("a", "b"))
         grown = split.where(F.col("a").isNull()).select("cell", "whole", "n", "items")
         if grown.count() > 2 * large.count():      # windows cover most cells: pivots do not separate this
@@ -337,15 +375,10 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     order = _frequency_class(_sketch(rows.select("text"), size))
     docs = cut(_windows(rows, order, size), "ngram-docs")
     windows = docs.where(F.size("win") > 0).select("whole", "n", F.posexplode("win").alias("pos", "shingle"))
-    # regions that hold two different documents; their first one stands for the region
-    open_regions = cut(windows.groupBy("shingle").agg(
-        F.min("whole").alias("pivot"), F.max("whole").alias("last"), F.min("n").alias("least")).where(
-        F.col("pivot") != F.col("last")).select("shingle", "pivot", "least"), "ngram-regions")
-    # A partner y whose first common shingle is this one shares at most n - pos with x, and at least 4/9 (n + |y|):
-    # a document for which even the smallest set of the region is too large has no partner here.
-    reachable = F.col("least") * 4 <= 9 * (F.col("n") - F.col("pos")) - 4 * F.col("n")
-    met = windows.join(open_regions, "shingle").where(reachable)
-    families = cut(connected_components(met.select(F.col("whole").alias("a"), F.col("pivot").alias("b"))), "ngram-family")
+    open_regions = windows.groupBy("shingle").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where(
+        F.col("low") != F.col("high")).select("shingle")
+    met = cut(windows.join(cut(open_regions, "ngram-regions"), "shingle").dropDuplicates(["shingle", "whole"]), "ngram-met")
+    families = cut(connected_components(_meetings(met)), "ngram-family")
     sets = cut(_sets(rows.select("text"), _filter(families), size).join(families, F.col("whole") == F.col("node"))
                .select(F.col("component").alias("cell"), "whole", "n", "items").dropDuplicates(["whole"]), "ngram-sets")
     hang = cut(connected_components(_join_families(sets, family, depth)), "ngram-hang")
