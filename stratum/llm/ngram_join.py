@@ -4,8 +4,8 @@ Jaccard distance is a metric, and the join partitions by it, first coarsely, the
 
 *Regions.* Almost all pairs of documents are at distance 1, where document pivots tell nothing apart. So the first
 pivots are single shingles, in one global order (rare before frequent, by a fixed-size sketch of shingle counts): a
-document is nearest to the pivots it holds, and its window reaches over the first n - ceil(0.8 n) + 1 of them. Two sets
-within distance 0.2 share at least ceil(0.8 n) shingles, so their windows meet: each linked pair is in a common
+document is nearest to the pivots it holds, and its window reaches over a little more than the first n - ceil(0.8 n) + 1 of them. Two
+sets within distance 0.2 share at least ceil(0.8 n) shingles, so their windows meet: each linked pair is in a common
 region. Documents that meet nobody in any region are done. Pairs whose windows share too little to reach 80 percent
 are ruled out by counting; what may still hang together forms a family.
 
@@ -41,6 +41,7 @@ SHINGLE = 5
 PERCENT = 80
 SKETCH_BITS = 18
 FILTER_BITS = 24
+SPARE = 20            # windows are longer than needed by this part: so many shared shingles need no other region
 REGION = 64           # documents of a region up to which its pairs are weighed one by one
 FAMILY = 1024         # documents that one task joins at once
 PIVOTS = 8
@@ -76,8 +77,8 @@ def shingles(w: kernel.Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
 
 
 def _window(n: np.ndarray) -> np.ndarray:
-    """Shingles of the window: n - ceil(0.8 n) + 1."""
-    return np.where(n > 0, n - (PERCENT * n + 99) // 100 + 1, 0)
+    """Shingles of the window: n - ceil(0.8 n) + 1, and a SPARE-th part of n more."""
+    return np.where(n > 0, np.minimum(n, n - (PERCENT * n + 99) // 100 + 1 + n // SPARE), 0)
 
 
 def _sketch(texts: DataFrame, size: int) -> np.ndarray:
@@ -151,15 +152,20 @@ def _meetings(met: DataFrame) -> DataFrame:
     ``met`` holds (shingle, whole, n, pos) of the regions with two documents or more. Let x and y share the fraction
     asked for: then at least 4/9 (|x| + |y|) shingles. If their first common one stands at pos, at most n - pos are left
     on either side. And of the common ones, those up to the end of the window that ends first lie in both windows; so
-    they share at most c + max(n - window) with c common window shingles. Regions of up to ``REGION`` documents are
-    paired under these bounds; in larger ones every document that can have a partner is tied to the first one."""
-    sizes = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("m"), F.min("whole").alias("pivot"), F.min("n").alias("least"))
+    they share at most c + max(n - window) with c common window shingles, which makes c at least n // SPARE for either.
+    Regions of up to ``REGION`` documents are paired under these bounds. A document with fewer than n // SPARE window
+    shingles in larger regions shares one in a small region with every partner, so it can leave the larger ones; in
+    these, only the documents that consist of frequent text to that extent are tied to the first one of them."""
+    sizes = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
     sizes = cut(sizes, "ngram-region-sizes")
     big = met.join(sizes.where(F.col("m") > REGION), "shingle")
     # the set of the smallest region mate is too large already: no partner can be first met here
     reachable = F.col("least") * 4 <= 9 * (F.col("n") - F.col("pos")) - 4 * F.col("n")
-    tied = big.where(reachable).select(F.col("whole").alias("a"), F.col("pivot").alias("b"))
     in_big = cut(big.groupBy("whole").agg(F.count(F.lit(1)).alias("g")), "ngram-in-big")
+    bound = cut(big.join(in_big, "whole").where((F.col("g") >= F.floor(F.col("n") / SPARE)) & reachable)
+                .select("shingle", "whole"), "ngram-tied")
+    pivot = cut(bound.groupBy("shingle").agg(F.min("whole").alias("pivot")), "ngram-pivots")
+    tied = bound.join(pivot, "shingle").select(F.col("whole").alias("a"), F.col("pivot").alias("b"))
     small = cut(met.join(sizes.where(F.col("m") <= REGION).select("shingle"), "shingle"), "ngram-small")
     x = small.select("shingle", F.col("whole").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     y = small.select(F.col("shingle").alias("same"), F.col("whole").alias("b"), F.col("n").alias("nb"),
@@ -169,7 +175,7 @@ def _meetings(met: DataFrame) -> DataFrame:
     pairs = x.join(y, (F.col("shingle") == F.col("same")) & (F.col("a") < F.col("b"))
                    & (smaller * 100 >= PERCENT * larger)).groupBy("a", "b", "na", "nb").agg(
         F.count(F.lit(1)).alias("c"), F.max(rest).alias("rest"))
-    window = lambda n: n - F.floor((PERCENT * n + 99) / 100) + 1
+    window = lambda n: F.least(n, n - F.floor((PERCENT * n + 99) / 100) + 1 + F.floor(n / SPARE))
     pairs = pairs.join(in_big.select(F.col("whole").alias("a"), F.col("g").alias("ga")), "a", "left").join(
         in_big.select(F.col("whole").alias("b"), F.col("g").alias("gb")), "b", "left")
     unseen = F.least(F.coalesce("ga", F.lit(0)), F.coalesce("gb", F.lit(0)))    # common ones in large regions
@@ -292,18 +298,19 @@ def _join_small(sets: DataFrame, key: str) -> DataFrame:
         lambda t: _join_groups(t, "grp"), "a long, b long")
 
 
-def _split(cells: DataFrame, depth: int) -> DataFrame:
-    """Cells of (cell, whole, n, items) split by document pivots: rows (cell, whole, n, items, a, b): the new cells
-    with their boundary documents, and in a, b the links to pivots that turned up."""
+def _split(cells: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
+    """Cells (cell, whole) split by document pivots: rows (cell, whole, a, b) with the new cells and their boundary
+    documents, and in a, b the links to pivots that turned up."""
     chance = F.xxhash64("whole", F.lit(depth))
     pivots = cells.withColumn("r", F.row_number().over(W.partitionBy("cell").orderBy(chance, "whole"))).where(
-        F.col("r") <= PIVOTS).groupBy("cell").agg(F.collect_list(F.struct("whole", "items")).alias("pivots"))
-    pivots = cut(pivots, "ngram-pivots")
+        F.col("r") <= PIVOTS).join(sets, "whole").groupBy("cell").agg(
+        F.collect_list(F.struct("whole", "items")).alias("pivots"))
+    pivots = cut(pivots, "ngram-cell-pivots")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for cell, whole, n, raw, near in zip(*[c.to_pylist() for c in batch.columns]):
+            out: list[list] = [[] for _ in range(4)]
+            for cell, whole, raw, near in zip(*[c.to_pylist() for c in batch.columns]):
                 items = np.frombuffer(raw, dtype=np.uint64)
                 distance = []
                 for p in near:
@@ -312,54 +319,52 @@ def _split(cells: DataFrame, depth: int) -> DataFrame:
                     common = int((other[at] == items).sum())
                     distance.append(1 - common / (len(items) + len(other) - common))
                     if p["whole"] != whole and 100 * common >= PERCENT * (len(items) + len(other) - common):
-                        for k, x in enumerate((None, None, None, None, whole, p["whole"])):
+                        for k, x in enumerate((None, None, whole, p["whole"])):
                             out[k].append(x)
                 reach = min(distance) + 2 * (1 - PERCENT / 100) + 1e-9
                 for p, d in zip(near, distance):
                     if d <= reach:
                         key = int(kernel.mix(np.array([cell, p["whole"]], dtype=np.int64).view(np.uint64))
                                   .sum(dtype=np.uint64).astype(np.int64))
-                        for k, x in enumerate((key, whole, n, raw, None, None)):
+                        for k, x in enumerate((key, whole, None, None)):
                             out[k].append(x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(),
-                                                      pa.int64()))], names=["cell", "whole", "n", "items", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["cell", "whole", "a", "b"])
 
-    return cells.select("cell", "whole", "n", "items").join(pivots, "cell").mapInArrow(
-        run, "cell long, whole long, n long, items binary, a long, b long")
+    return cells.join(sets, "whole").select("cell", "whole", "items").join(pivots, "cell").mapInArrow(
+        run, "cell long, whole long, a long, b long")
 
 
-def _join_blocks(cells: DataFrame, sizes: DataFrame, family: int) -> DataFrame:
+def _join_blocks(cells: DataFrame, sizes: DataFrame, sets: DataFrame, family: int) -> DataFrame:
     """Joins cells that pivots do not separate: dealt into blocks, every two blocks meet in one task."""
     half = max(1, family // 2)
     blocks = cells.join(sizes.select("cell", F.ceil(F.col("size") / half).cast("int").alias("blocks")), "cell")
     mine = F.pmod(F.xxhash64("whole"), F.col("blocks")).cast("int")
     met = blocks.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.xxhash64("cell", F.least("mine", "other"), F.greatest("mine", "other"))
-    return met.select(pair.alias("grp"), "whole", "items").groupBy("grp").applyInArrow(
-        lambda t: _join_groups(t, "grp"), "a long, b long")
+    return met.select(pair.alias("grp"), "whole").join(sets, "whole").select("grp", "whole", "items").groupBy(
+        "grp").applyInArrow(lambda t: _join_groups(t, "grp"), "a long, b long")
 
 
-def _join_families(sets: DataFrame, family: int, depth_limit: int) -> DataFrame:
-    """(a, b): links enough to tell which of the sets (cell, whole, n, items) hang together."""
-    cells, links = sets, []
+def _join_families(cells: DataFrame, sets: DataFrame, family: int, depth_limit: int) -> DataFrame:
+    """(a, b): links enough to tell which of the sets (whole, n, items) in the same cell (cell, whole) hang together.
+    Cells are split by their ids alone; the sets themselves are only sent to where they are joined."""
+    links = []
     for depth in range(depth_limit + 1):
         sizes = cut(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "ngram-sizes")
         small = cells.join(sizes.where((F.col("size") > 1) & (F.col("size") <= family)).select("cell"), "cell")
-        links.append(cut(_join_small(small, "cell"), "ngram-links"))
+        links.append(cut(_join_small(small.join(sets, "whole"), "cell"), "ngram-links"))
         big = sizes.where(F.col("size") > family)
         if big.isEmpty():
             break
-        large = cells.join(big, "cell")
-        if depth == depth_limit:
-            links.append(cut(_join_blocks(large.drop("size"), big, family), "ngram-links"))
-            break
-        with small_batches(sets.sparkSession, 256):     # a row carries its set and those of the pivots
-            split = cut(_split(large, depth), "ngram-cells")
-        links.append(split.where(F.col("a").isNotNull()).select("a", "b"))
-        grown = split.where(F.col("a").isNull()).select("cell", "whole", "n", "items")
-        if grown.count() > 2 * large.count():      # windows cover most cells: pivots do not separate this
-            links.append(cut(_join_blocks(large.drop("size"), big, family), "ngram-links"))
+        large = cut(cells.join(big.select("cell"), "cell"), "ngram-large")
+        grown = None
+        if depth < depth_limit:
+            with small_batches(sets.sparkSession, 256):     # a row carries its set and those of the pivots
+                split = cut(_split(large, sets, depth), "ngram-cells")
+            links.append(split.where(F.col("a").isNotNull()).select("a", "b"))
+            grown = split.where(F.col("a").isNull()).select("cell", "whole")
+        if grown is None or grown.count() > 2 * large.count():      # windows cover most cells: nothing is separated
+            links.append(cut(_join_blocks(large, big, sets, family), "ngram-links"))
             break
         cells = grown
     out = links[0]
@@ -380,8 +385,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     met = cut(windows.join(cut(open_regions, "ngram-regions"), "shingle").dropDuplicates(["shingle", "whole"]), "ngram-met")
     families = cut(connected_components(_meetings(met)), "ngram-family")
     sets = cut(_sets(rows.select("text"), _filter(families), size).join(families, F.col("whole") == F.col("node"))
-               .select(F.col("component").alias("cell"), "whole", "n", "items").dropDuplicates(["whole"]), "ngram-sets")
-    hang = cut(connected_components(_join_families(sets, family, depth)), "ngram-hang")
+               .select("whole", "n", "items").dropDuplicates(["whole"]), "ngram-sets")
+    cells = families.select(F.col("component").alias("cell"), F.col("node").alias("whole"))
+    hang = cut(connected_components(_join_families(cells, sets, family, depth)), "ngram-hang")
     # from word sequences back to ids; an id that repeats ties its rows together
     group = F.coalesce("component", "whole")
     placed = docs.where(F.col("n") > 0).select("id", "whole").join(
