@@ -395,7 +395,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     placed = cut(placed, "ngram-placed")
     first = cut(placed.where(F.col("id").isNotNull()).groupBy("grp").agg(F.min("id").alias("first")), "ngram-first")
     named = cut(placed.join(first, "grp").select("id", "first"), "ngram-named")
-    several = named.where(F.col("id") != F.col("first")).groupBy("id").agg(
+    several = named.groupBy("id").agg(
         F.min("first").alias("low"), F.max("first").alias("high")).where(F.col("low") != F.col("high"))
     if not several.isEmpty():     # one id in several groups: merge them
         merged = connected_components(named.select(F.col("id").alias("a"), F.col("first").alias("b")))

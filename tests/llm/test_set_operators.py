@@ -75,7 +75,7 @@ def test_sign_codes(spark):
                                    [(random.Random(i).randint(0, 90), random.Random(-i).randint(0, 90)) for i in range(70)]])
 def test_components(spark, edges):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == components({x for e in edges if e[0] != e[1] for x in e}, edges)
+    assert got == components({x for e in edges if e[0] != e[1] for x in e}, [e for e in edges if e[0] != e[1]])
 
 
 def plain_sets(rows):
