@@ -59,7 +59,7 @@ def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("items"), money_sum("price").alias("_rev"),
                 money_exact("price").alias("_rev_exact"), money_total("price").alias("revenue")))
     return per.select("category", "items", "revenue",
-                      F.rank().over(Window.orderBy(F.col("_rev_exact").desc_nulls_last(), F.col("_rev").desc()))
+                      F.rank().over(Window.orderBy(F.col("_rev").desc_nulls_last(), F.col("_rev_exact").desc_nulls_last()))
                       .alias("revenue_rank"))
 
 

@@ -52,7 +52,7 @@ def cluster_settings(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTE
     skewed partitions; scans split files at the same size. Window state for streams goes to RocksDB so large state
     lives off-heap (set before the first stream of the session starts).
     """
-    partitions = max(200, min(200_000, -(-input_bytes // target_bytes)))
+    partitions = max(200, -(-input_bytes // target_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),

@@ -174,3 +174,13 @@ def test_encoded_first_payment_matches_the_generic_rollup(spark):
     bad = df.union(spark.createDataFrame([("o9", 1, "pix", 1.0)], df.schema))
     with pytest.raises(Exception, match="outside the declared domain"):
         model.payment_rollup(bad, PAYMENT_TYPES).collect()
+
+
+def test_category_rank_puts_huge_and_nan_revenue_first(spark):
+    from stratum.operators.views import category_performance
+    items = spark.createDataFrame([(1, 2e12), (2, 11.0), (3, float("nan")), (4, 5.0), (5, 5.0), (6, None)],
+                                  "product_key long, price double")
+    products = spark.createDataFrame([(1, "big"), (2, "small"), (3, "nan"), (4, "a"), (5, "b"), (6, "none")],
+                                     "product_key long, category string")
+    ranks = {r["category"]: r["revenue_rank"] for r in category_performance(items, products).collect()}
+    assert ranks == {"nan": 1, "big": 2, "small": 3, "a": 4, "b": 4, "none": 6}

@@ -87,7 +87,8 @@ def test_csv_round_trip_and_table_store(spark, tmp_root):
 def test_cluster_settings_scale_with_input_and_respect_existing_values(spark):
     from stratum.session import apply_settings, cluster_settings
     big = cluster_settings(100 * 2**40)                       # 100 TB
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    # no cap: 256 MiB per partition also at this size
+    assert int(big["spark.sql.shuffle.partitions"]) * 256 * 2**20 == 100 * 2**40
     assert int(cluster_settings(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200   # floor for small inputs
     applied = apply_settings(spark, {"spark.sql.shuffle.partitions": "999"})
     assert applied == {} and spark.conf.get("spark.sql.shuffle.partitions") != "999"
