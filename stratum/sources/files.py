@@ -22,6 +22,7 @@ CORRUPT = "_corrupt_record"
 R_MALFORMED = "malformed row"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"       # read: seconds, fraction optional
 WRITE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"    # write: never drop fractional seconds
+JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _reader(spark: SparkSession, multi_line: bool):
@@ -88,5 +89,5 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """newline-delimited JSON."""
-    df.write.mode(mode).json(path)
+    """newline-delimited JSON, timestamps with their fractional seconds and zone."""
+    df.write.mode(mode).option("timestampFormat", JSON_TIMESTAMP_FORMAT).json(path)
