@@ -65,9 +65,13 @@ def cluster_settings(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTE
 
 
 def apply_settings(spark: SparkSession, settings: dict[str, str], override: bool = False) -> dict[str, str]:
-    """Set each value unless the session already sets it (cluster settings win unless ``override``)."""
+    """Set each value unless the session already sets it (cluster settings win unless ``override``). A partition
+    count that the session sets also keeps AQE's initial count, which would take its place, unset."""
     applied = {}
+    own_count = not override and spark.conf.get("spark.sql.shuffle.partitions", None) not in (None, "")
     for k, v in settings.items():
+        if own_count and k == "spark.sql.adaptive.coalescePartitions.initialPartitionNum":
+            continue
         if override or spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
             applied[k] = v

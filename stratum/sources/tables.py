@@ -55,7 +55,13 @@ class TableStore:
         """
         obs = Observation(f"{layer}.{name}")
         parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-        if parts:
+        if bucket_by and not (self.database and buckets):
+            raise ValueError("bucketed tables need a catalog database and a bucket count")
+        if bucket_by:
+            # one task per bucket, hashed as the buckets are: one file per bucket (and partition value) instead of
+            # one per task and bucket
+            df = df.repartition(buckets, *bucket_by)
+        elif parts:
             # AQE rebalance: rows of one partition value meet in few tasks (few files per directory), while a
             # skewed value is split across tasks and small ones are coalesced.
             df = df.hint("rebalance", *parts)
@@ -64,8 +70,6 @@ class TableStore:
             # an overwrite replaces the whole table, whatever the session's partitionOverwriteMode says
             writer = writer.partitionBy(*parts).option("partitionOverwriteMode", "static")
         if bucket_by:
-            if not self.database or not buckets:
-                raise ValueError("bucketed tables need a catalog database and a bucket count")
             df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
             where = self._registered_location(df.sparkSession, layer, name)
             if where is not None and not _same_path(where, self.path(layer, name)):

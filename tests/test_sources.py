@@ -128,3 +128,27 @@ def test_catalog_paths_compare_by_path_and_relative_roots_become_absolute():
     assert _same_path("hdfs://nn:8020/lake/silver/orders", "hdfs:///lake/silver/orders/")
     assert _same_path("file:/tmp/x", "/tmp/x") and not _same_path("file:/tmp/x", "/tmp/y")
     assert TableStore("lake/rel").root.startswith("/")
+
+
+def test_bucketed_write_makes_one_file_per_bucket(spark, tmp_root):
+    store = TableStore(f"file://{tmp_root}/lake", database="bucket_files_test")
+    t = spark.range(0, 1000, 1, 16).withColumn("order_id", F.col("id").cast("string"))
+    assert store.write(t, "silver", "orders", bucket_by=["order_id"], buckets=4) == 1000
+    files = [f for f in os.listdir(f"{tmp_root}/lake/silver/orders") if f.startswith("part-")]
+    assert len(files) <= 4
+    assert store.read(spark, "silver", "orders").count() == 1000
+
+
+def test_json_sink_keeps_microseconds(spark, tmp_root):
+    from datetime import datetime
+    from stratum.sources.files import write_json
+    at = datetime(2018, 1, 1, 10, 0, 0, 123456)
+    write_json(spark.createDataFrame([(at,)], "at timestamp"), f"{tmp_root}/out")
+    assert spark.read.schema("at timestamp").json(f"{tmp_root}/out").first().at == at
+
+
+def test_an_explicit_partition_count_is_not_undone_by_the_initial_count(spark):
+    from stratum.session import apply_settings
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert spark.conf.get("spark.sql.shuffle.partitions", None)          # the test session sets it
+    assert apply_settings(spark, {key: "999"}) == {} and spark.conf.get(key, None) != "999"
