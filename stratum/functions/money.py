@@ -3,8 +3,9 @@
 A sum of doubles depends on the order rows are added, which depends on partitioning, so a rerun on a different
 cluster can round a total ending in ...5 the other way. Money is therefore summed as DECIMAL: each value is taken
 to six decimals (amounts carry at most that many) and the sum is exact and order-independent; rounding to cents
-happens once, HALF_UP, on the exact total. A group holding a value that has no decimal form (NaN, infinity, or
-beyond 10^12) falls back to the double sum, so NaN still poisons the total and nothing aborts.
+happens once, HALF_UP, on the exact total. A group holding a value that has no such decimal form (NaN, infinity,
+beyond 10^12, or with digits past the sixth decimal) falls back to the double sum, so NaN still poisons the total,
+nothing aborts and no digit is dropped.
 """
 from __future__ import annotations
 
@@ -19,10 +20,12 @@ def _col(c) -> Column:
 
 
 def _exact(c: Column):
-    """(exact decimal sum, all values converted): NaN, infinities and values beyond the decimal range do not
-    convert, and then the caller falls back to the double sum (NaN and overflow behave as for doubles)."""
+    """(exact decimal sum, all values survive the conversion): NaN, infinities and values beyond the decimal range do
+    not convert, and values with digits past the sixth decimal would lose them; then the caller falls back to the
+    double sum (NaN and overflow behave as for doubles)."""
     as_dec = c.try_cast(MONEY)
-    return F.sum(as_dec), F.count_if(c.isNotNull() & as_dec.isNull()) == 0
+    lost = as_dec.isNull() | (F.abs(c - as_dec.cast("double")) > F.abs(c) * 1e-12)
+    return F.sum(as_dec), F.count_if(c.isNotNull() & lost) == 0
 
 
 def money_exact(c) -> Column:

@@ -92,8 +92,11 @@ def customers_masked(dim_customer: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sql: str) -> DataFrame:
-    """V5: ad-hoc SQL over registered views, as a lazy DataFrame."""
-    return spark.sql(sql)
+    """V5: ad-hoc read-only SQL over registered views, as a lazy DataFrame.
+
+    The statement runs as a subquery, where only queries parse: commands that write or change the catalog (INSERT,
+    CREATE, DROP, SET, ...) are refused with a parse error before anything runs."""
+    return spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
 
 
 def describe(df: DataFrame) -> list[tuple[str, str]]:

@@ -1,6 +1,7 @@
 """Star schema, mart, views, masking, catalog."""
 from datetime import datetime as T
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.functions.keys import date_key, surrogate_key
@@ -162,7 +163,6 @@ def test_category_rank_uses_exact_totals(spark):
 
 
 def test_encoded_first_payment_matches_the_generic_rollup(spark):
-    import pytest
     from stratum.contracts import PAYMENT_TYPES
     rows = [("o1", 2, "voucher"), ("o1", 1, "boleto"), ("o1", 1, "credit_card"), ("o2", 3, None), ("o2", 3, "boleto"),
             ("o3", None, "voucher"), ("o3", 1, "boleto"), ("o4", 5, None), ("o5", 2, "debit_card")]
@@ -184,3 +184,29 @@ def test_category_rank_puts_huge_and_nan_revenue_first(spark):
                                      "product_key long, category string")
     ranks = {r["category"]: r["revenue_rank"] for r in category_performance(items, products).collect()}
     assert ranks == {"nan": 1, "big": 2, "small": 3, "a": 4, "b": 4, "none": 6}
+
+
+def test_small_amounts_keep_their_digits(spark):
+    from stratum.functions.money import money_sum
+    df = spark.range(10).selectExpr("4e-7D AS v", "cast(id AS double) + 0.25D AS w")
+    r = df.agg(money_sum("v").alias("v"), money_sum("w").alias("w")).first()
+    assert abs(r.v - 4e-6) < 1e-15 and r.w == 47.5
+
+
+def test_payment_domains_of_any_size(spark):
+    types = tuple(f"t{i:02d}" for i in range(20))
+    pay = spark.createDataFrame([("o", 2, "t01", 1.0), ("o", 1, "t19", 2.0)],
+                                "order_id string, payment_sequential int, payment_type string, payment_value double")
+    r = model.payment_rollup(pay, types).first()
+    assert (r.payment_type, r.payment_value) == ("t19", 3.0)
+
+
+def test_ad_hoc_sql_is_read_only(spark):
+    spark.range(3).createOrReplaceTempView("ad_hoc_numbers")
+    rows = views.query(spark, "WITH x AS (SELECT id FROM ad_hoc_numbers) SELECT id FROM x ORDER BY id DESC; ").collect()
+    assert [r.id for r in rows] == [2, 1, 0]
+    for statement in ("CREATE TABLE ad_hoc_t (a int) USING parquet", "DROP VIEW ad_hoc_numbers",
+                      "INSERT INTO ad_hoc_numbers VALUES (1)", "SET spark.sql.ansi.enabled=false"):
+        with pytest.raises(Exception):
+            views.query(spark, statement)
+    assert spark.table("ad_hoc_numbers").count() == 3
