@@ -16,10 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
+FILE_ROWS = 1_000_000     # rows worth a file of their own, in tables of a few numbers per row
+
+
+def cut(df: DataFrame, tag: str, most_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the session's shared scratch folder and read it back: later steps do not recompute it, and a
-    lost executor loses nothing of it."""
+    lost executor loses nothing of it. Where no more than ``most_rows`` short rows can come, it is written by no more
+    tasks than these rows or the session's cores are worth."""
     path = scratch_dir(df.sparkSession, tag)
+    if most_rows is not None:
+        df = df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-most_rows // FILE_ROWS)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
