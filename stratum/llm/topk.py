@@ -95,7 +95,8 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         covered = min(BITS, m * (r + 1) - 1)
         probes = todo.select("q", "bound", F.explode(_probe_keys(F.col("q"), segments, r)).alias("key"))
         distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int")
-        hits = probes.join(entries, (probes["key"] == entries["key"]) & (distance <= F.col("bound"))).select(
+        # the probes of a small written table look small enough to broadcast, and multiply with every round: deal both
+        hits = probes.join(entries.hint("merge"), (probes["key"] == entries["key"]) & (distance <= F.col("bound"))).select(
             "q", "code", distance.alias("distance"), "n_ids").distinct()
         found = hits if found is None else found.unionByName(hits).distinct()
         # the codes that hold the k + 1 nearest rows (one of them may be the query itself): k + 1 codes at most
