@@ -151,6 +151,22 @@ def test_embedding_links_match_brute_force(spark):
     assert lattice.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_links_of_a_dense_group_match_brute_force(spark):
+    rng = np.random.default_rng(11)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    x = centre + rng.normal(size=(2000, 64)) * 0.06       # most links lie near the threshold
+    x = np.concatenate([x, rng.normal(size=(300, 64))])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (u @ u.T) >= 0.9
+    np.fill_diagonal(linked, False)
+    want = components(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(linked)) if a < b])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    by = {r["vec_id"]: r for r in lattice.near_duplicates(df).collect()}
+    right = sum((by[i]["n_links"], by[i]["component_id"]) == (int(linked[i].sum()), want[i]) for i in range(len(x)))
+    assert linked.any() and right >= 0.97 * len(x) and sum(r["n_links"] for r in by.values()) >= 0.96 * linked.sum()
+
+
 def test_lattice_decoding_finds_the_nearest_point():
     rng = np.random.default_rng(0)
     y = rng.normal(size=(200, 8)) * 2
