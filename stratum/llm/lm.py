@@ -11,9 +11,10 @@ token, the last two (n-grams), the token two back and the one three back (skips)
 probability is the smoothed count share, an unseen token counting as 0. So the score is a log10 probability.
 
 *Training.* Each round sends the weights to all tasks; a task goes through its training documents in mini-batches of
-positions (every ``STRIDE``-th, from another start in each round) with Adagrad steps, and its change of weights
-is added up over tasks, weighted by positions: what is gathered grows with the corpus, what the driver holds has a
-fixed size. Scoring runs in numpy batches that gather the weight rows of the active features only.
+positions with Adagrad steps (of a document's positions every ``rounds``-th, from another start in each round, so
+that the rounds visit each position once), and its change of weights is added up over tasks, weighted by positions:
+what is gathered grows with the corpus, what the driver holds has a fixed size. Scoring runs in numpy batches that
+gather the weight rows of the active features only.
 
 Null and empty texts are one end token. Rows repeat as they are (and count in training each time); a null id is never
 held out. With no training rows all counts are 0, the base score is the uniform limit of its formula and the model
@@ -35,7 +36,6 @@ from .tables import ARRAY_SCHEMA, add_arrays, array_rows, cut, task_number
 HEAD_WORDS = 100_000
 CLASSES, CLASS_SIZE = 32, 32
 TAILS = 16
-STRIDE = 8
 ROUNDS = 2
 BATCH = 8192
 RATE = 0.15
@@ -294,8 +294,8 @@ def start_weights(v: Vocabulary) -> np.ndarray:
     return w.flat
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, stride: int = STRIDE) -> np.ndarray:
-    """Weights after ``rounds`` of distributed updates over all rows of column ``text``."""
+def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights after ``rounds`` of distributed updates, which together visit every position of column ``text`` once."""
     sc = texts.sparkSession.sparkContext
     flat = start_weights(vocabulary)
     shared_vocabulary = sc.broadcast(vocabulary)
@@ -314,7 +314,8 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, stride
                     _, ranked, ids = _token_ids(v, t)
                     cls, slot = _class_of(ranked, t.tail)
                     feats = _features(ids, t)
-                    at = np.arange((r * 3 + 1) % stride, len(cls), stride)
+                    place = np.arange(len(cls)) - t.first[t.doc]     # in the document, however texts are chunked
+                    at = np.flatnonzero(place % rounds == r)
                     for a in range(0, len(at), BATCH):
                         b = at[a:a + BATCH]
                         _train_batch(w, m, [f[b] for f in feats], cls[b], slot[b])
@@ -331,7 +332,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, stride
 
 
 def score(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
-          head_words: int = HEAD_WORDS, stride: int = STRIDE) -> DataFrame:
+          head_words: int = HEAD_WORDS) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = documents.sparkSession
     rows = documents.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"),
@@ -339,7 +340,7 @@ def score(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     training = rows.where(~F.col("held_out")).select("text")
     counts = cut(count_tokens(training), "lm-counts")
     vocabulary = learn_vocabulary(counts, head_words)
-    flat = train(training, vocabulary, rounds, stride)
+    flat = train(training, vocabulary, rounds)
     shared_vocabulary, shared = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(flat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -189,6 +189,18 @@ def test_lm_base_score_matches_brute_force_and_the_model_beats_it(spark):
     assert lm.score(documents(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_lm_training_visits_every_position(spark, rounds):
+    names = [f"word{i}" for i in range(60)]
+    texts = [" ".join(names[:40]), *names[40:], ""]           # each word comes once; short documents are not skipped
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    vocabulary = lm.learn_vocabulary(lm.count_tokens(df))
+    w = lm.Weights(lm.train(df, vocabulary, rounds=rounds))
+    moved = (w.part[1] != 0).any(axis=1)        # the row of a token moves when the position after it is visited
+    assert moved[[int(r) for r in vocabulary.rank[vocabulary.head != lm.END]]].all() and moved[lm.ONE_ROWS - 1]
+    assert (w.part[4] != 0).any(axis=1).sum() == 39           # of the tokens three back: 38 words and the start
+
+
 def test_lm_probabilities_add_up_to_one():
     w = lm.Weights(np.random.default_rng(0).normal(size=lm.Weights.SIZE).astype(np.float32))
     feats = [np.full(lm.CLASSES * lm.CLASS_SIZE + lm.TAILS, x) for x in (3, 5, 7, 9)]
