@@ -1,10 +1,11 @@
 """Best-fit packing into bins of several permitted sequence lengths.
 
 Documents longer than the longest permitted length are cut into full bins of that length and a rest; the rests and
-the shorter documents are packed by best fit, longest first. When no open bin has room, a bin of the cheapest size is
-opened: ``cost`` per token it can still be filled with, given everything that is left to place (so all permitted
-lengths are weighed together, not one after the other). At the end every bin is downsized to the shortest permitted
-length that holds its contents.
+the shorter documents are packed by best fit, longest first. When no open bin has room, a bin is opened whose length
+depends on the shortest one that holds the piece: the shard is packed with each opening length for all pieces, then
+with other ones for the pieces of one length at a time, and the packing of the least total ``cost`` is kept (so the
+fill that the shard's own sizes allow decides, and all permitted lengths are weighed together). At the end of each
+packing every bin is downsized to the shortest permitted length that holds its contents.
 
 Best fit needs all open bins at hand, so the pieces are dealt into shards of about ``shard_rows`` by a hash of the
 document; a shard is packed in one task, and at most one bin per shard is left badly filled. The number of shards
@@ -35,29 +36,21 @@ def linear_cost(length: int) -> float:
     return 64.0 + length * (1.0 + 1.5 * length / 8192)
 
 
-def pack(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS, cost: Callable[[int], float] = linear_cost
-         ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bin of each piece, final length of each bin, tokens in each bin) for pieces sorted from the largest down,
-    none longer than the longest permitted length."""
-    lengths = sorted(lengths)
-    left = float(sizes.sum())
+def _pack(sizes: list[int], lengths: list[int], opened: tuple[int, ...]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Best fit where a piece whose shortest fitting length is the k-th opens a bin of the ``opened[k]``-th."""
     free: list[tuple[int, int]] = []           # (free room, bin), sorted: the first that fits is the best fit
-    where = np.empty(len(sizes), dtype=np.int64)
+    where: list[int] = []
     used: list[int] = []
-    for i, size in enumerate(sizes):
-        size = int(size)
+    for size in sizes:
         at = bisect.bisect_left(free, (size, -1))
         if at < len(free):
             room, b = free.pop(at)
         else:
-            fits = [c for c in lengths if c >= size]
-            # what a bin of length c can still take is all that is left, the piece included
-            room = min(fits, key=lambda c: (cost(c) / min(c, left), c))
+            room = lengths[opened[bisect.bisect_left(lengths, size)]]
             b = len(used)
             used.append(0)
-        where[i] = b
+        where.append(b)
         used[b] += size
-        left -= size
         if room > size:
             bisect.insort(free, (room - size, b))
     used_arr = np.array(used, dtype=np.int64)
@@ -65,6 +58,33 @@ def pack(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS, cost: Callable[[
     return where, final, used_arr
 
 
+def pack(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS, cost: Callable[[int], float] = linear_cost
+         ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bin of each piece, final length of each bin, tokens in each bin) for pieces sorted from the largest down,
+    none longer than the longest permitted length; of the opening rules tried, the one of the least total cost."""
+    lengths = sorted(lengths)
+    pieces = [int(x) for x in sizes]
+    each = np.array([cost(c) for c in lengths])
+    kinds = sorted(set(np.searchsorted(lengths, pieces).tolist()))
+    tried: dict[tuple[int, ...], tuple] = {}
+
+    def attempt(opened: tuple[int, ...]) -> tuple:
+        rule = tuple(opened[k] for k in kinds)               # lengths that no piece asks for do not matter
+        if rule not in tried:
+            found = _pack(pieces, lengths, opened)
+            tried[rule] = (float(each[np.searchsorted(lengths, found[1])].sum()), opened, found)
+        return tried[rule]
+
+    best = min((attempt(tuple(max(k, least) for k in range(len(lengths)))) for least in range(len(lengths))),
+               key=lambda x: x[0])
+    for k in kinds:
+        for c in range(k, len(lengths)):
+            other = attempt((*best[1][:k], c, *best[1][k + 1:]))
+            best = min(best, other, key=lambda x: x[0])
+    where, final, used = best[2]
+    return np.array(where, dtype=np.int64), final, used
+
+
 def best_fit(documents: DataFrame, id_col: str = "doc_id", tokens_col: str = "n_tokens",
              lengths: tuple[int, ...] = LENGTHS, shard_rows: int = SHARD_ROWS,
              cost: Callable[[int], float] = linear_cost) -> DataFrame:

@@ -46,6 +46,16 @@ def test_packing_is_best_fit_and_opens_the_cheapest_bin():
     assert where.tolist() == [0, 0, 0] and final.tolist() == [16]
 
 
+def test_packing_weighs_the_production_lengths_by_their_fill():
+    where, final, used = packing.pack(np.full(4999, 300))
+    # three to a bin of 1,024, not one to a bin of 512; the last one holds a single piece and is downsized
+    assert np.bincount(where).tolist() == [3] * 1666 + [1] and final.tolist() == [1024] * 1666 + [512]
+    assert sum(map(packing.linear_cost, final.tolist())) < 0.7 * 4999 * packing.linear_cost(512)
+    sizes = np.array([5000] * 20 + [300] * 3000)        # here lengths differ by piece
+    _, final, used = packing.pack(sizes)
+    assert used.sum() == sizes.sum() and (used <= final).all() and len(set(final.tolist())) > 1
+
+
 def test_topk_search_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     codes = [int(x) for x in rng.integers(-2 ** 63, 2 ** 63 - 1, 300, dtype=np.int64)]
