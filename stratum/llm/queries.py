@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lattice, licenses, lm, mixing, ngram_join, packing, secrets, token_counts, topk, toxicity
+from . import (fingerprints, lattice, licenses, lm, mixing, negatives, ngram_join, packing, secrets, token_counts, topk,
+               toxicity, whitening)
 from .tables import ensure_importable, table, text_or_empty
 
 
@@ -60,6 +61,20 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_importable(spark)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label=negatives.shifted_label())
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_importable(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -71,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 
 
@@ -81,4 +99,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
         "op7_license_scan": licenses.oracle_sql(),
         "op8_source_mixing": mixing.oracle_sql(),
+        "op11_hard_negatives": negatives.ORACLE_SQL,
     }
