@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on the sf0.001 tables (rows, columns, values)."""
+"""Every registered lake query against its DuckDB oracle on the sf0.001 tables (rows, columns, values)."""
 import os
 import sys
 
@@ -10,10 +10,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from compare import TABLES, rows_of  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from stratum.plans import registry  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLE = registry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in registry.QUERIES}
 
 
 @pytest.fixture(scope="module")
