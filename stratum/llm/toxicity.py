@@ -41,6 +41,7 @@ ERRORS = 2.0          # standard errors that weights are drawn towards zero by
 DRIFT = 0.05          # subtracted from every word's weight
 LEAST = 2             # toxic documents that a feature must stand in to be held by the model
 CUTOFF = 0.7
+FLUSH_ROWS = 250_000  # feature rows that a task holds before it adds them up
 
 PASSAGE = pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("score", pa.float64())])
 
@@ -133,31 +134,32 @@ def _count(labelled: DataFrame) -> DataFrame:
         size = 0
 
         def flush() -> pa.RecordBatch:
-            key, parent, toxic, clean = (np.concatenate(x) for x in zip(*held))
-            key, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-            n1 = np.bincount(inverse, weights=toxic, minlength=len(key)).astype(np.int64)
-            n0 = np.bincount(inverse, weights=clean, minlength=len(key)).astype(np.int64)
-            held[:] = [(key, parent[first], n1, n0)]
+            key, parent, toxic = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.argsort(key)
+            begin = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]])
+            total = np.diff(np.r_[begin, len(key)])
+            n1 = np.add.reduceat(toxic[order], begin, dtype=np.int64)
+            first = order[begin]
             return pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(parent[first].view(np.int64)), pa.array(n1), pa.array(n0)],
-                names=["feature", "parent", "toxic", "clean"])
+                [pa.array(key[first].view(np.int64)), pa.array(parent[first].view(np.int64)), pa.array(n1),
+                 pa.array(total - n1)], names=["feature", "parent", "toxic", "clean"])
 
         for batch in batches:
-            label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int8)
             for a, _, w in kernel.words(batch.column(0), kernel.ALNUM_WORDS):
                 parent = np.zeros(len(w.start), np.uint64)
                 for h in features(w):
-                    pair = np.unique(np.stack([h, w.doc.astype(np.uint64), parent]), axis=1) if len(h) else np.zeros(
-                        (3, 0), np.uint64)
-                    y = label[a + pair[1].astype(np.int64)]
-                    held.append((pair[0], pair[2], y, 1 - y))
-                    size += len(y)
+                    # once per document: the words come document by document, a key that mixes in its number tells them apart
+                    _, one = np.unique(kernel.mix(h ^ (w.doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))),
+                                       return_index=True)
+                    held.append((h[one], parent[one], label[a + w.doc[one]]))
+                    size += len(one)
                     parent = h
-                if size > 4_000_000:
-                    yield flush()
-                    held.clear()
-                    size = 0
-        if held:
+                    if size > FLUSH_ROWS:
+                        yield flush()
+                        size = 0
+        if size:
             yield flush()
 
     counted = labelled.select("text", "label").mapInArrow(run, "feature long, parent long, toxic long, clean long")
@@ -235,7 +237,6 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             for a, b, w in kernel.words(batch.column(0), kernel.ALNUM_WORDS):
                 segments, weight = doc_segments(shared.value, w)
                 clean += np.histogram(np.clip(weight[label[a + w.doc] == 0], -0.999, 14.999), edges)[0]
-                # few segments decide: those that cannot be significant at any length add nothing
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(label[a:b], pa.int32()), pa.array(np.diff(w.first), pa.int64()),
                      pa.array([[s for _, _, s in x] for x in segments], pa.list_(pa.float64())),
