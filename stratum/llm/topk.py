@@ -1,10 +1,12 @@
 """Exact top-k search in Hamming space by incremental multi-index hashing.
 
-Codes of 64 bits are cut into m segments. If two codes differ in at most m * (r + 1) - 1 bits, they differ in at most
-r bits in some segment. So the index maps (segment, value) to codes, and a query looks up all values within r bits of
-its own, for r = 0, 1, 2, ... After round r every code within m * (r + 1) - 1 bits has been seen and verified; a query
-is finished once its k-th verified distance is within that radius, and only unfinished queries go on. The segments
-have about log2(number of codes) bits, so a bucket holds about one code of unrelated data at any size.
+Codes of 64 bits are cut into m segments, and each segment i has a search radius r_i. Two codes that differ in more than
+r_i bits in every segment differ in at least sum(r_i + 1) bits; so once all values within r_i bits of a query's own
+have been looked up in every segment i, each code within sum(r_i + 1) - 1 bits has been seen and verified. The index
+maps (segment, value) to codes. Radii grow from nothing one segment after the other, and each query only grows as many
+segments as its own k-th verified distance asks for; then it is finished, and provably so. The number of segments is
+the one for which probes and verifications are expected to cost least for codes without structure, at the distance
+where the k-th of that many codes lies: a probe is dealt, sorted and merged, a verification counts bits inside the join.
 
 Equal codes are indexed once, with their k + 1 smallest ids (no more of them can be among the k nearest, as ties go to
 the smaller id), so one code that many rows share is one index entry and, on the query side, one query.
@@ -27,6 +29,7 @@ from .tables import cut
 
 K = 10
 BITS = 64
+PROBE_COST = 40       # what a probe costs, in verifications
 
 
 def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -43,29 +46,49 @@ def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                           F.when(bad, None).otherwise(F.shiftleft(high, 32).bitwiseOR(low)).alias("code"))
 
 
-def _segments(bits: int) -> list[tuple[int, int]]:
-    """(shift, width) of m = ceil(64 / bits) segments of nearly equal width."""
-    m = math.ceil(BITS / bits)
+def _cut(m: int) -> list[tuple[int, int]]:
+    """(shift, width) of m segments of nearly equal width."""
     edges = [round(i * BITS / m) for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
+def _segments(n: int, k: int) -> list[tuple[int, int]]:
+    """The segments of least expected cost for n codes: the k-th of them is expected at distance d, and radii that add
+    up to d + 1 (with one for each segment) are dealt evenly."""
+    seen, d = 1.0, 0
+    while d < BITS and n * seen / 2 ** BITS < k + 1:
+        d += 1
+        seen += math.comb(BITS, d)
+
+    def cost(m: int) -> float:
+        out = 0.0
+        for i, (_, width) in enumerate(_cut(m)):
+            radius = (d + 1) // m + (i < (d + 1) % m) - 1
+            ball = sum(math.comb(width, r) for r in range(radius + 1))
+            out += ball * (PROBE_COST + n / 2 ** width)
+        return out
+
+    return _cut(min(range(3, 17), key=cost))
+
+
 def _masks(width: int, r: int) -> list[int]:
     return [sum(1 << b for b in c) for c in itertools.combinations(range(width), r)]
 
 
-def _probe_keys(code: Column, segments: list[tuple[int, int]], r: int) -> Column:
-    """Array of (segment, value) at exactly r bits from the code's own values, packed as segment * 2^32 + value."""
+def _probe_keys(code: Column, segments: list[tuple[int, int]], r: int, most: Column | None = None) -> Column:
+    """Array of (segment, value) at exactly r bits from the code's own values, packed as segment * 2^32 + value; of the
+    first ``most`` segments only, if given."""
     def flip(own: Column, segment: int) -> Callable[[Column], Column]:
         return lambda mask: own.bitwiseXOR(mask) + F.lit(segment << 32)
 
     parts = []
     for segment, (shift, width) in enumerate(segments):
         own = F.shiftrightunsigned(code, shift).bitwiseAND(F.lit((1 << width) - 1))
-        masks = _masks(width, r)
-        if masks:
-            parts.append(F.transform(F.from_json(F.lit(str(masks)), "array<bigint>"), flip(own, segment)))
-    return F.concat(*parts)
+        masks = F.from_json(F.lit(str(_masks(width, r))), "array<bigint>")
+        parts.append(F.transform(masks, flip(own, segment)))
+    if most is None:
+        return F.concat(*parts)
+    return F.concat(*[F.when(most > s, part).otherwise(F.array().cast("array<bigint>")) for s, part in enumerate(parts)])
 
 
 def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -81,7 +104,7 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     n = index.count()
     if not n or asked.isEmpty():
         return spark.createDataFrame([], "query_id bigint, rank int, id bigint, distance int")
-    segments = _segments(max(4, min(32, round(math.log2(max(2, n))))))
+    segments = _segments(n, k)
     m = len(segments)
     entries = index.select("code", F.size("ids").alias("n_ids"),
                            F.explode(_probe_keys(F.col("code"), segments, 0)).alias("key"))
@@ -92,8 +115,14 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     found = None            # (q, code, distance, n_ids) kept so far of the unfinished queries
     widest = max(w for _, w in segments)
     for r in range(widest + 1):
-        covered = min(BITS, m * (r + 1) - 1)
-        probes = todo.select("q", "bound", F.explode(_probe_keys(F.col("q"), segments, r)).alias("key"))
+        # so far every segment has radius r - 1, and m * r - 1 bits are covered: each further segment adds one
+        needed = F.least(F.lit(m), F.col("bound") - F.lit(m * r - 1))
+        covered = F.lit(m * r - 1) + F.col("needed")
+        asks = todo.select("q", "bound", needed.alias("needed"))
+        # probes multiply with the radius: their queries are dealt to as many tasks first as there are cores for
+        if r:
+            asks = asks.repartition(spark.sparkContext.defaultParallelism)
+        probes = asks.select("q", "bound", F.explode(_probe_keys(F.col("q"), segments, r, F.col("needed"))).alias("key"))
         distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int")
         # the probes of a small written table look small enough to broadcast, and multiply with every round: deal both
         hits = probes.join(entries.hint("merge"), (probes["key"] == entries["key"]) & (distance <= F.col("bound"))).select(
@@ -108,16 +137,18 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             W.partitionBy("q")), F.lit(BITS))
         near = near.withColumn("ahead", ahead).withColumn("bound", per).where(F.col("distance") <= F.col("bound"))
         near = cut(near.drop("ahead"), f"topk-round{r}")
-        last = r == widest or covered >= BITS
+        last = r == widest or m * (r + 1) - 1 >= BITS
+        # a bound can only have shrunk: if it is covered by what its query has probed, the query is finished
+        near = near.join(todo.select("q", needed.alias("needed")), "q") if not last else near
         over = F.col("bound") <= covered
-        done.append(near if last else near.where(over))
+        done.append((near if last else near.where(over)).select("q", "code", "distance"))
         if last:
             break
         left = todo.select("q").join(near.where(over).select("q").distinct(), "q", "left_anti")
         bounds = near.where(~over).groupBy("q").agg(F.min("bound").alias("bound"))
         todo = cut(left.join(bounds, "q", "left").select("q", F.coalesce("bound", F.lit(BITS)).alias("bound")),
                    f"topk-todo{r}")
-        found = near.where(~over).drop("bound")
+        found = near.where(~over).drop("bound", "needed")
         if todo.isEmpty():
             break
     pairs = done[0]
