@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .tables import cut, shuffle_partitions, text_or_empty
 
 SLOTS = 64
-AT_ONCE = 8          # slots worked on in one row: enough to spare rows, few enough to stay compiled
+AT_ONCE = 4          # slots worked on in one row: enough to spare rows, few enough to compile well
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,11 +42,14 @@ def words(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).when(F.size(found) == 0, F.array(text)).otherwise(found)
 
 
-def _uniforms(bits: Column) -> tuple[Column, Column]:
-    """Two numbers strictly between 0 and 1 from the two halves of 64 random bits."""
-    scale = float(1 << 32)
-    low = bits.bitwiseAND(F.lit((1 << 32) - 1)).cast("double")
-    return (F.shiftrightunsigned(bits, 32).cast("double") + F.lit(0.5)) / F.lit(scale), (low + F.lit(0.5)) / F.lit(scale)
+def _field(bits: Column, at: int, width: int) -> Column:
+    return F.shiftrightunsigned(bits, at).bitwiseAND(F.lit((1 << width) - 1))
+
+
+def _gamma(bits: Column, width: int) -> Column:
+    """-ln(u1 * u2) of two uniform numbers of ``width`` bits each: the gamma distribution with shape 2."""
+    u1, u2 = ((_field(bits, width * k, width).cast("double") + 0.5) / float(1 << width) for k in (0, 1))
+    return -F.log(u1 * u2)
 
 
 def samples(terms: DataFrame, keys: list[str], weights: list[str], term: str = "term", slots: int = SLOTS) -> DataFrame:
@@ -57,17 +60,15 @@ def samples(terms: DataFrame, keys: list[str], weights: list[str], term: str = "
     logs = terms.select(*keys, F.col(term).alias("__term"), *[
         F.when(F.col(w) > 0, F.log(F.col(w).cast("double"))).alias(f"__log{i}") for i, w in enumerate(weights)])
     rows = logs.withColumn("__group", F.explode(F.array(*[F.lit(g) for g in range(groups)])))
-    drawn = rows
-    for s in range(AT_ONCE):
-        first = F.xxhash64("__term", F.col("__group") * AT_ONCE + s)
-        drawn = drawn.withColumn(f"__h{s}", first).withColumn(f"__i{s}", F.xxhash64(F.col(f"__h{s}"), F.lit(1))).withColumn(
-            f"__j{s}", F.xxhash64(F.col(f"__i{s}"), F.lit(2)))
+    hashed = rows.withColumns({f"__h{s}": F.xxhash64("__term", F.col("__group") * AT_ONCE + s) for s in range(AT_ONCE)})
+    hashed = hashed.withColumns({f"__i{s}": F.xxhash64(f"__h{s}") for s in range(AT_ONCE)})
     kept = [*keys, "__group", *[f"__log{i}" for i in range(len(weights))]]
     numbers = []
-    for s in range(AT_ONCE):
-        (u1, u2), (u3, u4), (u5, _) = (_uniforms(F.col(f"__{x}{s}")) for x in "hij")
-        numbers += [(-F.log(u1 * u2)).alias(f"__r{s}"), F.log(-F.log(u3 * u4)).alias(f"__c{s}"), u5.alias(f"__b{s}")]
-    drawn = drawn.select(*kept, *numbers)
+    for s in range(AT_ONCE):     # 128 random bits: 26 for each of four uniform numbers, 24 for the fifth
+        h, i = F.col(f"__h{s}"), F.col(f"__i{s}")
+        b = (_field(h, 52, 12) * 4096 + _field(i, 52, 12)).cast("double") / float(1 << 24)
+        numbers += [_gamma(h, 26).alias(f"__r{s}"), F.log(_gamma(i, 26)).alias(f"__c{s}"), b.alias(f"__b{s}")]
+    drawn = hashed.select(*kept, *numbers)
     entries = []
     for i in range(len(weights)):
         for s in range(AT_ONCE):

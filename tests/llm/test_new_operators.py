@@ -194,12 +194,10 @@ def sample(text):
         best = (math.inf, None)
         for word, weight in count.items():
             seed = xxhash.xxh64(word.encode(), seed=42).intdigest()
-            h1 = xxhash.xxh64(slot.to_bytes(4, "little"), seed=xxhash.xxh64(seed.to_bytes(8, "little"), seed=42).intdigest()).intdigest()
-            h2, h3 = (0, 0)
-            h2 = xxhash.xxh64((1).to_bytes(4, "little"), seed=xxhash.xxh64(h1.to_bytes(8, "little"), seed=42).intdigest()).intdigest()
-            h3 = xxhash.xxh64((2).to_bytes(4, "little"), seed=xxhash.xxh64(h2.to_bytes(8, "little"), seed=42).intdigest()).intdigest()
-            u = lambda h: (((h >> 32) + 0.5) / 2 ** 32, ((h & 0xFFFFFFFF) + 0.5) / 2 ** 32)
-            r, c, b = -math.log(u(h1)[0] * u(h1)[1]), math.log(-math.log(u(h2)[0] * u(h2)[1])), u(h3)[0]
+            h = xxhash.xxh64(slot.to_bytes(4, "little"), seed=xxhash.xxh64(seed.to_bytes(8, "little"), seed=42).intdigest()).intdigest()
+            i = xxhash.xxh64(h.to_bytes(8, "little"), seed=42).intdigest()
+            gamma = lambda x: -math.log(((x % 2 ** 26) + 0.5) / 2 ** 26 * (((x >> 26) % 2 ** 26) + 0.5) / 2 ** 26)
+            r, c, b = gamma(h), math.log(gamma(i)), ((h >> 52) * 4096 + (i >> 52)) / 2 ** 24
             t = math.floor(math.log(weight) / r + b)
             best = min(best, (c - r * (t - b) - r, (word, t)), key=lambda e: e[0])
         out.append(best[1])
