@@ -66,7 +66,8 @@ def main() -> None:
         # the same job with the order-keyed tables bucketed on order_id (co-located gold joins)
         root = tempfile.mkdtemp(prefix="stratum-bench-lake-")
         job = LakeJob(spark, TableStore(f"file://{root}", database="bench_lake"), enforce_gates=("gold",),
-                      sources=standin.sources(spark, sf_dir), buckets=int(cpus) * 2)
+                      sources=standin.sources(spark, sf_dir), buckets=int(cpus) * 2,
+                      schemas=("gold_bucketed", "analytics_bucketed"))
         sc.setJobGroup("full_job_bucketed", "full_job_bucketed")
         t0 = time.perf_counter()
         job.run()

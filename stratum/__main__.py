@@ -30,6 +30,8 @@ def main(argv=None) -> dict:
     ap.add_argument("--input-gb", type=float, help="size the shuffle and scan partitions for this much input")
     ap.add_argument("--database", help="catalog database for bucketed tables (needs a shared metastore across runs)")
     ap.add_argument("--buckets", type=int, help="bucket the order-keyed tables on order_id (needs --database)")
+    ap.add_argument("--schemas", default="gold,analytics", metavar="TABLES,VIEWS",
+                    help="catalog schemas that the warehouse stage publishes to")
     ap.add_argument("--raw-file", action="append", default=[], metavar="SOURCE=FILE",
                     help="file name of a source under --raw (default <source>.csv); repeat per source")
     ap.add_argument("--single-line-csv", action="store_true",
@@ -47,7 +49,8 @@ def main(argv=None) -> dict:
     job = LakeJob(spark, TableStore(args.lake, database=args.database), raw_dir=args.raw, buckets=args.buckets,
                   raw_files=raw_files or None, csv_multi_line=not args.single_line_csv,
                   sources=standin.sources(spark, args.tables) if args.tables else None,
-                  csv_mode=args.csv_mode, partition_facts=args.partition_facts)
+                  csv_mode=args.csv_mode, partition_facts=args.partition_facts,
+                  schemas=tuple(args.schemas.split(",", 1)))
     summary = job.run(args.stages)
     print(json.dumps(summary, indent=1, default=str))
     return summary

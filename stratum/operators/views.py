@@ -2,8 +2,9 @@
 
 Money totals are exact DECIMAL sums rounded once (see ``functions.money``).
 
-The gold tables and the analyst views are registered as temporary views, so analyst SQL keeps the full Catalyst
-path (pruning, pushdown, AQE) and stays distributed; nothing is loaded into a single-process database.
+``create_views`` registers them as temporary views of one session; ``VIEW_SQL`` are the same views as SQL, which
+``sources.warehouse`` makes persistent. Either way analyst SQL keeps the full Catalyst path (pruning, pushdown, AQE)
+and stays distributed; nothing is loaded into a single-process database.
 """
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import pii_columns
-from ..functions.money import money_exact, money_sum, money_total
+from ..functions.money import MONEY, money_exact, money_sum, money_total
 
 GOLD_VIEW_PREFIX = "gold_"
 
@@ -63,6 +64,39 @@ def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
                       .alias("revenue_rank"))
 
 
+def _exact_total(column: str) -> str:
+    """``money_total`` as SQL text: exact decimals rounded once, or the double sum where a value has no such form."""
+    d = f"try_cast({column} AS {MONEY})"
+    lost = f"{column} IS NOT NULL AND ({d} IS NULL OR abs({column} - CAST({d} AS DOUBLE)) > abs({column}) * 1e-12)"
+    return f"CASE WHEN count_if({lost}) = 0 THEN CAST(round(sum({d}), 2) AS DOUBLE) ELSE round(sum({column}), 2) END"
+
+
+def _exact_order(column: str) -> tuple[str, str]:
+    """What ``category_performance`` ranks by: the total as a double, and the exact total (null where there is none)."""
+    d = f"try_cast({column} AS {MONEY})"
+    lost = f"{column} IS NOT NULL AND ({d} IS NULL OR abs({column} - CAST({d} AS DOUBLE)) > abs({column}) * 1e-12)"
+    return (f"CASE WHEN count_if({lost}) = 0 THEN CAST(sum({d}) AS DOUBLE) ELSE sum({column}) END",
+            f"CASE WHEN count_if({lost}) = 0 THEN sum({d}) END")
+
+
+#: The three views below as SQL, for the catalog: ``{gold}`` is the schema of the gold tables. A persistent view cannot
+#: hold a DataFrame; tests/test_warehouse.py compares each with its function.
+VIEW_SQL = {
+    "v_monthly_revenue": f"""
+        SELECT d.year, d.month, count(*) AS orders, {_exact_total('f.payment_value')} AS revenue,
+               round(avg(CASE WHEN f.is_late THEN 1 ELSE 0 END), 4) AS late_share
+        FROM {{gold}}.fact_orders f JOIN {{gold}}.dim_date d ON d.date_key = f.purchase_date_key
+        GROUP BY d.year, d.month ORDER BY d.year, d.month""",
+    "v_category_performance": f"""
+        SELECT category, items, revenue,
+               rank() OVER (ORDER BY total DESC NULLS LAST, exact_total DESC NULLS LAST) AS revenue_rank
+        FROM (SELECT p.category, count(*) AS items, {_exact_total('i.price')} AS revenue,
+                     {_exact_order('i.price')[0]} AS total, {_exact_order('i.price')[1]} AS exact_total
+              FROM {{gold}}.fact_order_items i JOIN {{gold}}.dim_product p USING (product_key) GROUP BY p.category)""",
+    "v_customers_masked": "SELECT customer_key, customer_city, customer_state FROM {gold}.dim_customer",
+}
+
+
 def mask(df: DataFrame, policy: dict[str, str] | None = None, pii: frozenset[str] | None = None,
          keep: tuple[str, ...] = (), salt: str | None = None) -> DataFrame:
     """Contract-driven masking: every PII column is dropped, hashed (sha2-256) or kept as the policy says.

@@ -1,8 +1,8 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator family, plus its oracle SQL.
 
 Every query reads the driver tables under ``sf_dir`` through the stand-in mapping and runs the library operators
-over the whole tables. Outputs that carry surrogate keys (xxhash64, no DuckDB counterpart) are checked on natural
-keys; the keyed variants are registered without oracle SQL (rows-only). Timestamps are returned as TIMESTAMP_NTZ so
+over the whole tables. Outputs that carry surrogate keys (xxhash64, no DuckDB counterpart) are checked on the natural
+keys that they resolve to. Timestamps are returned as TIMESTAMP_NTZ so
 they compare with DuckDB's zone-less TIMESTAMP.
 """
 from __future__ import annotations
@@ -130,16 +130,35 @@ def q_dim_product(spark, sf_dir):
 
 
 def q_surrogate_keys(spark, sf_dir):
+    """The line fact joined with its dimensions on the surrogate keys; what comes back are natural keys. A key that
+    stood for two members would double a line, one that differed between fact and dimension would lose its member."""
     g = Lake(spark, sf_dir).gold
-    return (g["dim_product"].select(F.lit("product").alias("dim"), F.col("product_key").alias("key"),
-                                    F.col("product_id").alias("natural_key"))
-            .unionByName(g["dim_seller"].select(F.lit("seller").alias("dim"), F.col("seller_key").alias("key"),
-                                                F.col("seller_id").alias("natural_key")))
-            .unionByName(g["dim_customer"].select(F.lit("customer").alias("dim"), F.col("customer_key").alias("key"),
-                                                  F.col("customer_unique_id").alias("natural_key"))))
+    return (g["fact_order_items"].join(g["dim_product"].select("product_key", "product_id"), "product_key", "left")
+            .join(g["dim_seller"].select("seller_key", "seller_id"), "seller_key", "left")
+            .join(g["dim_customer"].select("customer_key", "customer_unique_id"), "customer_key", "left")
+            .select("order_id", "order_item_id", "product_id", "seller_id", "customer_unique_id"))
 
 
-# --- analyst views -----------------------------------------------------------------------------------------------
+def _published(spark, sf_dir, names):
+    """The named gold tables written and published in schemas of their own, and a second session to read them in."""
+    from ..session import scratch_dir, sibling_session
+    from ..sources.tables import TableStore
+    from ..sources.warehouse import Layout, Warehouse
+    root = scratch_dir(spark, "warehouse")
+    tag = root.rsplit("-", 1)[1]
+    house = Warehouse(TableStore(root), f"gold_{tag}", f"analytics_{tag}")
+    gold = Lake(spark, sf_dir).gold
+    for n in names:
+        house.store.write(gold[n], "gold", n)
+    house.publish(spark, {n: Layout() for n in names}, views.VIEW_SQL)
+    return house, sibling_session(spark)
+
+
+def q_warehouse_revenue(spark, sf_dir):
+    """The persistent monthly view, read by name in a second session."""
+    house, other = _published(spark, sf_dir, ("fact_orders", "dim_date"))
+    return house.view(other, "v_monthly_revenue")
+
 
 def q_monthly_revenue(spark, sf_dir):
     return views.create_views(spark, Lake(spark, sf_dir).gold)["v_monthly_revenue"]
@@ -150,7 +169,11 @@ def q_category_performance(spark, sf_dir):
 
 
 def q_customers_masked(spark, sf_dir):
-    return views.create_views(spark, Lake(spark, sf_dir).gold)["v_customers_masked"]
+    """The persistent masked view, read by name in a second session; its surrogate key is resolved to the natural one."""
+    house, other = _published(spark, sf_dir, ("dim_customer",))
+    people = house.table(other, "dim_customer").select("customer_key", "customer_unique_id")
+    view = house.view(other, "v_customers_masked")
+    return view.join(people, view.customer_key.eqNullSafe(people.customer_key)).drop("customer_key")
 
 
 # --- cleaning ----------------------------------------------------------------------------------------------------
@@ -287,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_revenue": q_monthly_revenue,
     "category_performance": q_category_performance,
     "customers_masked": q_customers_masked,
+    "warehouse_revenue": q_warehouse_revenue,
     "quarantine_split": q_quarantine_split,
     "reject_reasons": q_reject_reasons,
     "clean_orders": q_clean_orders,
@@ -389,6 +413,9 @@ def oracle_sql() -> dict[str, str]:
                    delivery_days, is_late, {R('review_score', 3)} AS review_score
             FROM fact_orders_nk"""),
         "fact_order_items": nk("SELECT order_id, order_item_id, purchase_date_key, price, freight_value FROM fact_items_nk"),
+        "surrogate_keys": nk("""
+            SELECT order_id, order_item_id, product_id, seller_id, customer_unique_id FROM fact_items_nk"""),
+        "customers_masked": nk("SELECT * FROM dim_customer_nk"),
         "dim_date": nk("SELECT * FROM dim_date_nk"),
         "dim_customer": nk("SELECT * FROM dim_customer_nk"),
         "dim_seller": nk("SELECT * FROM dim_seller_nk"),
@@ -398,6 +425,11 @@ def oracle_sql() -> dict[str, str]:
                    {R('avg(CASE WHEN f.is_late THEN 1 ELSE 0 END)', 4)} AS late_share
             FROM fact_orders_nk f JOIN dim_date_nk d ON d.date_key = f.purchase_date_key
             GROUP BY d.year, d.month"""),
+        "warehouse_revenue": nk(f"""
+            SELECT d.year, d.month, count(*) AS orders, {MT('f.payment_value')} AS revenue,
+                   {R('avg(CASE WHEN f.is_late THEN 1 ELSE 0 END)', 4)} AS late_share
+            FROM fact_orders_nk f JOIN dim_date_nk d ON d.date_key = f.purchase_date_key
+            GROUP BY d.year, d.month"""),
         "category_performance": nk(f"""
             SELECT p.category, count(*) AS items, {MT('i.price')} AS revenue,
                    CAST(rank() OVER (ORDER BY sum(CAST(i.price AS DECIMAL(18,6))) DESC) AS INTEGER) AS revenue_rank

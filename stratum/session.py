@@ -85,6 +85,16 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"stratum needs spark.sql.session.timeZone=UTC, the session has {tz!r}")
 
 
+def sibling_session(spark: SparkSession) -> SparkSession:
+    """Another session over the same context and catalog, with the caller's runtime settings but its own temporary
+    views."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
