@@ -259,7 +259,33 @@ def q_hourly_windows(spark, sf_dir):
 
 def q_hourly_stream(spark, sf_dir):
     from ..streaming.hourly import replay_and_aggregate
-    return ntz(replay_and_aggregate(spark, Lake(spark, sf_dir).silver, files=5))
+    return ntz(replay_and_aggregate(spark, Lake(spark, sf_dir).silver))
+
+
+def _staged_events(spark, sf_dir) -> DataFrame:
+    from ..session import scratch_dir
+    from ..streaming.hourly import order_events
+    path = scratch_dir(spark, "order-events")
+    order_events(Lake(spark, sf_dir).silver).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_hourly_restart(spark, sf_dir):
+    """The orders of two halves of the time line; the stream stops after the first and resumes from its checkpoint."""
+    from ..streaming.hourly import replay_in_waves
+    events = _staged_events(spark, sf_dir)
+    t = F.unix_seconds("event_time")
+    middle = events.agg(((F.min(t) + F.max(t)) / 2).cast("long")).first()[0]
+    early = t <= F.lit(middle)
+    return ntz(replay_in_waves(spark, [events.where(early), events.where(~early | F.col("event_time").isNull())]))
+
+
+def q_hourly_late(spark, sf_dir):
+    """A tenth of the orders arrives after all others: of these, what the watermark has passed by then is dropped."""
+    from ..streaming.hourly import replay_in_waves
+    events = _staged_events(spark, sf_dir)
+    late = F.col("order_id").cast("long") % 10 == 0
+    return ntz(replay_in_waves(spark, [events.where(~late), events.where(late)]))
 
 
 # --- sampling and governance -------------------------------------------------------------------------------------
@@ -329,6 +355,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report": q_quality_report,
     "hourly_windows": q_hourly_windows,
     "hourly_stream": q_hourly_stream,
+    "hourly_restart": q_hourly_restart,
+    "hourly_late": q_hourly_late,
     "sample_slice": q_sample_slice,
     "catalog_tables": q_catalog_tables,
     "bronze_ingest": q_bronze_ingest,
@@ -369,6 +397,14 @@ def _hourly_sql(source: str, ts: str, status: str, value: str) -> str:
         FROM {source} GROUP BY 1, 2"""
 
 
+_ORDER_EVENTS = ("(SELECT o.order_id, o.order_purchase_timestamp AS ts, o.order_status AS status, p.payment_value AS value "
+                 f"FROM s_orders o LEFT JOIN (SELECT order_id, {MS('payment_value')} AS payment_value FROM s_payments "
+                 "GROUP BY order_id) p ON o.order_id = p.order_id)")
+# the watermark stands two hours before the last order of the first wave when the late tenth arrives
+_LATE_EVENTS = f"""(SELECT * FROM {_ORDER_EVENTS} WHERE order_id::BIGINT % 10 <> 0 OR date_trunc('hour', ts) + INTERVAL 1 HOUR >
+    (SELECT max(ts) - INTERVAL 2 HOUR FROM {_ORDER_EVENTS} WHERE order_id::BIGINT % 10 <> 0))"""
+
+
 def _sample_sql(n: int = 2000) -> str:
     extra = {"so": f"""SELECT order_id, customer_id FROM src_orders
                        ORDER BY order_purchase_timestamp ASC NULLS LAST, order_id ASC NULLS LAST LIMIT {n}""",
@@ -458,10 +494,9 @@ def oracle_sql() -> dict[str, str]:
         "quality_report": _quality_report_sql(),
         "hourly_windows": _hourly_sql("events", "ts", "CASE WHEN event_type = 'error' THEN 'canceled' ELSE event_type END",
                                       "value"),
-        "hourly_stream": nk(_hourly_sql(
-            "(SELECT o.order_purchase_timestamp AS ts, o.order_status AS status, p.payment_value AS value "
-            f"FROM s_orders o LEFT JOIN (SELECT order_id, {MS('payment_value')} AS payment_value FROM s_payments "
-            "GROUP BY order_id) p ON o.order_id = p.order_id)", "ts", "status", "value")),
+        "hourly_stream": nk(_hourly_sql(_ORDER_EVENTS, "ts", "status", "value")),
+        "hourly_restart": nk(_hourly_sql(_ORDER_EVENTS, "ts", "status", "value")),
+        "hourly_late": nk(_hourly_sql(_LATE_EVENTS, "ts", "status", "value")),
         "sample_slice": _sample_sql(),
         "catalog_tables": _catalog_sql(),
         "bronze_ingest": nk("\nUNION ALL\n".join(
