@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .tables import cut, shuffle_partitions, text_or_empty
 
 SLOTS = 64
-AT_ONCE = 4          # slots worked on in one row: enough to spare rows, few enough to compile well
+AT_ONCE = 2          # slots worked on in one row: enough to spare rows, few enough to compile well
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -48,8 +48,8 @@ def _field(bits: Column, at: int, width: int) -> Column:
 
 def _gamma(bits: Column, width: int) -> Column:
     """-ln(u1 * u2) of two uniform numbers of ``width`` bits each: the gamma distribution with shape 2."""
-    u1, u2 = ((_field(bits, width * k, width).cast("double") + 0.5) / float(1 << width) for k in (0, 1))
-    return -F.log(u1 * u2)
+    u1, u2 = (_field(bits, width * k, width).cast("double") + 0.5 for k in (0, 1))
+    return -F.log(u1 * u2 * F.lit(0.25 ** width))
 
 
 def samples(terms: DataFrame, keys: list[str], weights: list[str], term: str = "term", slots: int = SLOTS) -> DataFrame:
@@ -66,15 +66,18 @@ def samples(terms: DataFrame, keys: list[str], weights: list[str], term: str = "
     numbers = []
     for s in range(AT_ONCE):     # 128 random bits: 26 for each of four uniform numbers, 24 for the fifth
         h, i = F.col(f"__h{s}"), F.col(f"__i{s}")
-        b = (_field(h, 52, 12) * 4096 + _field(i, 52, 12)).cast("double") / float(1 << 24)
+        b = (_field(h, 52, 12) * 4096 + _field(i, 52, 12)).cast("double") * F.lit(0.5 ** 24)
         numbers += [_gamma(h, 26).alias(f"__r{s}"), F.log(_gamma(i, 26)).alias(f"__c{s}"), b.alias(f"__b{s}")]
     drawn = hashed.select(*kept, *numbers)
+    # ln a = (ln c - r + r * b) - r * t: what does not depend on the weight is worked out once
+    drawn = drawn.withColumns({n: e for s in range(AT_ONCE) for n, e in (
+        (f"__base{s}", F.col(f"__c{s}") - F.col(f"__r{s}") + F.col(f"__r{s}") * F.col(f"__b{s}")),
+        (f"__inverse{s}", F.lit(1.0) / F.col(f"__r{s}")))})
     entries = []
     for i in range(len(weights)):
         for s in range(AT_ONCE):
-            r, c, b = (F.col(f"__{x}{s}") for x in "rcb")
-            t = F.floor(F.col(f"__log{i}") / r + b).cast("double")
-            entries.append(F.min(c - r * (t - b) - r).alias(f"__m{i}_{s}"))
+            t = F.floor(F.col(f"__log{i}") * F.col(f"__inverse{s}") + F.col(f"__b{s}")).cast("double")
+            entries.append(F.min(F.col(f"__base{s}") - F.col(f"__r{s}") * t).alias(f"__m{i}_{s}"))
     least = drawn.groupBy(*keys, "__group").agg(*entries)
     def named(entry: str) -> Column:
         return F.when(F.col(entry).isNull(), F.lit(0)).otherwise(F.xxhash64(entry).bitwiseAND(F.lit((1 << 32) - 1)))
