@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .tables import cut, shuffle_partitions, text_or_empty
 
 SLOTS = 64
-AT_ONCE = 2          # slots worked on in one row: enough to spare rows, few enough to compile well
+AT_ONCE = 4          # slots worked on in one row: enough to spare rows, few enough to compile well
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -168,14 +168,14 @@ def with_edits(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def digest(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     near, texts = with_edits(documents, id_col, text_col)
-    keyed = texts.withColumn("sha", F.sha2("edited", 256))
-    drawn = cut(fingerprints(keyed, [*KEY, "sha"], ["text", "edited"]), "fingerprint-samples")
+    # the digest would be a wide key of every term: it is worked out beside the samples, over the same shuffled texts
+    shas = texts.select(*KEY, F.sha2("edited", 256).alias("sha"))
+    drawn = cut(shas.join(fingerprints(texts, KEY, ["text", "edited"]).hint("merge"), KEY, "left"), "fingerprint-samples")
     none = F.array().cast("array<bigint>")
-    own = near.select("id", "n", "copies", *KEY, "next_k1", "next_k2").join(drawn, KEY, "left")
+    own = near.select("id", "n", "copies", *KEY, "next_k1", "next_k2").join(drawn, KEY)
     after = drawn.select(F.col("k1").alias("next_k1"), F.col("k2").alias("next_k2"), F.col("text").alias("after"))
     rows = own.join(after, ["next_k1", "next_k2"], "left").select(
-        "id", "n", "copies", F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("sha"),
-        *[F.coalesce(c, none).alias(c) for c in ("text", "edited", "after")])
+        "id", "n", "copies", "sha", *[F.coalesce(c, none).alias(c) for c in ("text", "edited", "after")])
     out = rows.select(
         F.col("id").alias(id_col), F.col("n").cast("bigint").alias("n_chars"), F.col("sha").alias("edited_sha256"),
         shown(F.col("text")).alias("fingerprint"), shown(F.col("edited")).alias("edited_fingerprint"),
