@@ -8,12 +8,13 @@ any size, and ``tables`` follows from it so that a pair at the threshold is stil
 
 *Candidates.* Inside a cell, vectors are compared by 64 sign bits of further random projections; each is paired with
 the first and with the nearest one within ``MAX_BITS`` bits (a pair at cosine 0.9 differs in 9 on average), and marked
-open if it has more such mates. A cell of more than ``CELL_ROWS`` vectors is dealt into several groups first, whose
-leaders meet in a second step.
+open if it has more such mates. A cell of more than ``CELL_ROWS`` vectors is dealt into several groups for this, by id
+and key, so that other tables mix the groups anew; all its vectors are open.
 
 *Verification.* Candidate pairs are verified by their cosine in double precision and contracted to components. Then
 the open vectors of each cell that are not all of one component meet with their vectors, all pairs of them, and the
-links found there join the components. Inside a component all links are counted exactly: small ones by one matrix
+links found there join the components; a cell of more than ``CELL_ROWS`` open vectors is cut into blocks by component, and
+every two blocks meet but those of one and the same component. Inside a component all links are counted exactly: small ones by one matrix
 product, large ones in blocks ordered by the angle to the component's first vector, where the triangle inequality of
 angles settles most block pairs unseen.
 
@@ -155,10 +156,9 @@ def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.mapInArrow(run, "id long, vec binary, copy binary")
 
 
-def _pair_up(ids: np.ndarray, codes: np.ndarray, out: list, leaders: list) -> np.ndarray:
-    """Pairs of one cell (at most CELL_ROWS rows): with the first and with the nearest vector within MAX_BITS bits;
-    ``leaders`` gets the vectors that have no earlier one as near. Returns the open rows: those with a mate within
-    MAX_BITS bits that they are not paired with."""
+def _pair_up(ids: np.ndarray, codes: np.ndarray, out: list) -> np.ndarray:
+    """Pairs of one cell (at most CELL_ROWS rows): with the first and with the nearest vector within MAX_BITS bits.
+    Returns the open rows: those with a mate within MAX_BITS bits that they are not paired with."""
     mates, paired = np.zeros(len(ids), dtype=np.int64), []
     for a in range(0, len(ids), 512):
         b = slice(a, a + 512)
@@ -170,7 +170,6 @@ def _pair_up(ids: np.ndarray, codes: np.ndarray, out: list, leaders: list) -> np
         first, best = near.argmax(axis=1), far.argmin(axis=1)
         out.append(np.stack([ids[rows[some]], ids[first[some]]]))
         out.append(np.stack([ids[rows[some]], ids[best[some]]]))
-        leaders.append(rows[~some | (first > rows)])
         mates[rows] = near.sum(axis=1)
         paired += [np.stack([rows[some], first[some]]), np.stack([rows[some], best[some]])]
     p = np.concatenate(paired, axis=1)
@@ -179,9 +178,9 @@ def _pair_up(ids: np.ndarray, codes: np.ndarray, out: list, leaders: list) -> np
     return np.flatnonzero(mates > settled)
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs, leaders and open rows of rows (key, salt, id, code) sorted by key, salt and id; streams, holding one
-    cell at most (and of a larger one CELL_ROWS rows). Leaders have a code, open rows a salt."""
+def _cells(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) and open rows (a, key) of rows (key, salt, id, code, several) sorted by key, salt and id; streams,
+    holding one cell at most (and of a larger one ``limit`` rows)."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def work(columns: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
@@ -190,32 +189,22 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = np.flatnonzero(np.r_[True, change])
         size = np.diff(np.r_[begin, len(key)])
         pairs: list[np.ndarray] = []
-        lead: list[np.ndarray] = []
-        more: list[np.ndarray] = [np.zeros(0, np.int64)]
+        more: list[np.ndarray] = [np.flatnonzero(several)]
         for at, n in zip(begin[size > 1], size[size > 1]):
-            for a in range(at, at + n, CELL_ROWS):
-                b = slice(a, min(a + CELL_ROWS, at + n))
-                leaders: list[np.ndarray] = []
-                left = _pair_up(ids[b], codes[b], pairs, leaders)
-                if several[at] or n > CELL_ROWS:
-                    lead += [a + x for x in leaders]
-                    left = np.arange(len(ids[b]))
-                more.append(a + left)
-        single = begin[(size == 1) & several[begin]]
-        rows = np.concatenate([*lead, single]).astype(np.int64) if lead or len(single) else np.zeros(0, np.int64)
+            for a in range(at, at + n, limit):
+                b = slice(a, min(a + limit, at + n))
+                left = _pair_up(ids[b], codes[b], pairs)
+                if not several[at]:
+                    more.append(a + left)
         p = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
         p = p[:, p[0] != p[1]]
         p = np.unique(np.stack([p.min(axis=0), p.max(axis=0)]), axis=1) if p.size else p
         left = np.concatenate(more)
-        n_pairs, n_lead, n_left = p.shape[1], len(rows), len(left)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[p[0], ids[rows], ids[left]]),
-             pa.concat_arrays([pa.array(p[1]), pa.nulls(n_lead + n_left, pa.int64())]),
-             pa.concat_arrays([pa.nulls(n_pairs, pa.int64()), pa.array(np.r_[key[rows], key[left]])]),
-             pa.concat_arrays([pa.nulls(n_pairs, pa.int64()), pa.array(codes[rows].view(np.int64)),
-                               pa.nulls(n_left, pa.int64())]),
-             pa.concat_arrays([pa.nulls(n_pairs + n_lead, pa.int32()), pa.array(salt[left].astype(np.int32))])],
-            names=["a", "b", "key", "code", "salt"])
+            [pa.array(np.r_[p[0], ids[left]]),
+             pa.concat_arrays([pa.array(p[1]), pa.nulls(len(left), pa.int64())]),
+             pa.concat_arrays([pa.nulls(p.shape[1], pa.int64()), pa.array(key[left])])],
+            names=["a", "b", "key"])
 
     def joined() -> tuple[np.ndarray, ...]:
         return tuple(np.concatenate(x) for x in zip(*held))
@@ -227,10 +216,10 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns[3] = columns[3].view(np.uint64)
         held.append(tuple(columns))
         key, salt = columns[0], columns[1]
-        if key[0] == key[-1] and salt[0] == salt[-1] and sum(len(h[0]) for h in held) < CELL_ROWS:
+        if key[0] == key[-1] and salt[0] == salt[-1] and sum(len(h[0]) for h in held) < limit:
             continue                                   # the cell may go on: hold it
         both = joined()
-        last = len(both[0]) if len(both[0]) >= 8 * CELL_ROWS and both[0][0] == both[0][-1] else int(
+        last = len(both[0]) if len(both[0]) >= 8 * limit and both[0][0] == both[0][-1] else int(
             np.flatnonzero(np.r_[True, (both[0][1:] != both[0][:-1]) | (both[1][1:] != both[1][:-1])])[-1])
         if last:
             yield from work(tuple(x[:last] for x in both))
@@ -239,12 +228,9 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(joined())
 
 
-CELL_SCHEMA = "a long, b long, key long, code long, salt int"
-
-
-def candidate_pairs(units: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def candidate_pairs(units: DataFrame, seed: int = SEED, cell_rows: int = CELL_ROWS) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a < b) of ids that meet in some cell and are near by their sign bits, and the open rows (key,
-    salt, id) of the cells: those with such pairs besides."""
+    id) of the cells: those with such pairs besides, and all rows of cells of more than ``cell_rows``."""
     n = max(2, units.count())
     blocks = max(1, math.ceil(math.log(n) / -math.log(CELL_SHARE) - 0.05))
     tables = math.ceil(math.log(MISSED) / math.log(1 - CELL_RECALL ** blocks))
@@ -266,17 +252,14 @@ def candidate_pairs(units: DataFrame, seed: int = SEED) -> tuple[DataFrame, Data
     # cells of one vector, or that nobody owns, pair nothing
     cells = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where(
         (F.col("n") > 1) & F.col("own"))
-    cells = cut(cells.select("key", F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("groups")), "lattice-used")
+    cells = cut(cells.select("key", F.ceil(F.col("n") / cell_rows).cast("int").alias("groups")), "lattice-used")
     rows = filed.join(cells, "key").select(
-        "key", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int").alias("salt"), "id", "code",
+        "key", F.pmod(F.xxhash64("id", "key"), F.col("groups")).cast("int").alias("salt"), "id", "code",
         (F.col("groups") > 1).alias("several"))
-    first = cut(rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "id").mapInArrow(_cells, CELL_SCHEMA),
-                "lattice-pairs")
-    leaders = first.where(F.col("code").isNotNull()).select(
-        "key", F.lit(0).alias("salt"), F.col("a").alias("id"), "code", F.lit(False).alias("several"))
-    second = leaders.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_cells, CELL_SCHEMA)
-    pairs = first.select("a", "b").union(second.select("a", "b")).where(F.col("b").isNotNull()).distinct()
-    return pairs, first.where(F.col("salt").isNotNull()).select("key", "salt", F.col("a").alias("id"))
+    met = cut(rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "id").mapInArrow(
+        lambda batches: _cells(batches, cell_rows), "a long, b long, key long"), "lattice-pairs")
+    return (met.where(F.col("b").isNotNull()).select("a", "b").distinct(),
+            met.where(F.col("key").isNotNull()).select("key", F.col("a").alias("id")))
 
 
 def verified(pairs: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
@@ -291,14 +274,18 @@ def verified(pairs: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
 
 
-def _join_up(ids: np.ndarray, component: np.ndarray, x: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """Links that join the components of the rows as all links between them do: at most one per component."""
+def _join_up(ids: np.ndarray, component: np.ndarray, x: np.ndarray, threshold: float,
+             left: int | None = None) -> list[tuple[int, int]]:
+    """Links that join the components of the rows as all links between them do: at most one per component. With
+    ``left``, only links between the first ``left`` rows and the rest."""
+    rows, begin = (len(ids), 0) if left is None else (left, left)
     label = np.unique(component, return_inverse=True)[1]
     out = []
-    for a in range(0, len(ids), 512):
-        linked = (x[a:a + 512] @ x.T) >= threshold
-        for i in np.flatnonzero((linked & (label[a:a + 512, None] != label)).any(axis=1)):
-            mates = np.flatnonzero(linked[i])
+    for a in range(0, rows, 512):
+        z = min(a + 512, rows)
+        linked = (x[a:z] @ x[begin:].T) >= threshold
+        for i in np.flatnonzero((linked & (label[a:z, None] != label[begin:])).any(axis=1)):
+            mates = begin + np.flatnonzero(linked[i])
             labels, at = np.unique(label[mates], return_index=True)
             other = labels != label[a + i]
             out += [(int(ids[a + i]), int(ids[j])) for j in mates[at[other]]]
@@ -306,23 +293,70 @@ def _join_up(ids: np.ndarray, component: np.ndarray, x: np.ndarray, threshold: f
     return out
 
 
-def open_links(rows: DataFrame, components: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between the components that open rows (key, salt, id) of a cell belong to, all pairs verified.
+def open_links(rows: DataFrame, components: DataFrame, units: DataFrame, threshold: float,
+               cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Links (a, b) between the components that open rows (key, id) of a cell belong to, all pairs verified.
     Pairs inside a component need no link: they are counted later."""
     placed = cut(rows.join(components, rows["id"] == components["node"], "left").select(
-        "key", "salt", "id", F.coalesce("component", "id").alias("component")), "lattice-open")
-    cells = placed.groupBy("key", "salt").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    cells = cut(cells.where(F.col("low") < F.col("high")).select("key", "salt"), "lattice-open-cells")
-    several = placed.join(cells, ["key", "salt"]).join(units.select("id", "vec"), "id").select(
-        "key", "salt", "id", "component", "vec")
+        "key", "id", F.coalesce("component", "id").alias("component")), "lattice-open")
+    cells = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                      F.count(F.lit(1)).alias("n"))
+    cells = cut(cells.where(F.col("low") < F.col("high")).select("key", "n"), "lattice-open-cells")
+    several = placed.join(cells, "key").join(units.select("id", "vec"), "id").select(
+        "key", "id", "component", "vec", "n")
+    found = _links_in_cells(several.where(F.col("n") <= cell_rows).drop("n"), threshold)
+    if not cells.where(F.col("n") > cell_rows).isEmpty():
+        found = found.union(_links_between_blocks(several.where(F.col("n") > cell_rows).drop("n"), threshold, cell_rows))
+    return found.distinct()
+
+
+def _links_between_blocks(rows: DataFrame, threshold: float, cell_rows: int) -> DataFrame:
+    """:func:`open_links` of cells of more than ``cell_rows`` rows (key, id, component, vec).
+
+    A component with many rows of a cell gets blocks of its own, the others share blocks, none is divided over two.
+    So two blocks need not meet if they are of one and the same component, and a cell that one component fills costs
+    its rows times the rows of the others, not their square."""
+    rows = cut(rows, "lattice-crowded")
+    sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m")).withColumn(
+        "owner", F.when(F.col("m") > cell_rows // 4, F.col("component")))
+    shared = sizes.where(F.col("owner").isNull()).groupBy("key").agg(F.sum("m").alias("pool"))
+    sizes = sizes.join(shared, "key", "left").select(
+        "key", "component", "owner", F.ceil(F.when(F.col("owner").isNull(), F.col("pool") * 2).otherwise(
+            F.col("m")) / cell_rows).cast("int").alias("parts"))
+    spread = F.xxhash64(F.when(F.col("owner").isNull(), F.col("component")).otherwise(F.col("id")))
+    placed = cut(rows.join(sizes, ["key", "component"]).withColumn("part", F.pmod(spread, F.col("parts"))).withColumn(
+        "block", F.concat_ws(":", F.coalesce(F.col("owner").cast("string"), F.lit("shared")), F.col("part"))).select(
+            "key", "block", "owner", "id", "component", "vec"), "lattice-blocks")
+    blocks = cut(placed.select("key", "block", "owner").distinct(), "lattice-block-list")
+    other = blocks.withColumnsRenamed({"block": "block2", "owner": "owner2"})
+    pairs = cut(blocks.join(other, "key").where(
+        (F.col("block") <= F.col("block2")) & F.coalesce(F.col("owner") != F.col("owner2"), F.lit(True))).select(
+            "key", "block", "block2"), "lattice-block-pairs")
+    base = placed.drop("owner")
+    left = base.join(pairs, ["key", "block"]).select("key", "block", "block2", "id", "component", "vec")
+    right = base.withColumnRenamed("block", "block2").join(pairs.where(F.col("block") < F.col("block2")), [
+        "key", "block2"]).select(*[F.col(c).alias(f"right_{c}") for c in left.columns])
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        both = pa.concat_tables([a, b.rename_columns(a.column_names)]) if len(b) else a
+        links = _join_up(both["id"].to_numpy(), both["component"].to_numpy(), _matrix(both["vec"].combine_chunks()),
+                         threshold, len(a) if len(b) else None) if len(a) else []
+        x, y = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
 
+    by = ["key", "block", "block2"]
+    return left.groupBy(*by).cogroup(right.groupBy(*[f"right_{c}" for c in by])).applyInArrow(compare, "a long, b long")
+
+
+def _links_in_cells(several: DataFrame, threshold: float) -> DataFrame:
+    """:func:`open_links` of whole cells (key, id, component, vec), one at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def work(part: pa.Table) -> pa.RecordBatch:
-            key, salt, ids, component = (part[c].to_numpy() for c in ("key", "salt", "id", "component"))
+            key, ids, component = (part[c].to_numpy() for c in ("key", "id", "component"))
             x = _matrix(part["vec"].combine_chunks())
-            begin = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])])
+            begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             links = set()
             for a, b in zip(begin, np.r_[begin[1:], len(key)]):
                 links.update(_join_up(ids[a:b], component[a:b], x[a:b], threshold))
@@ -334,16 +368,15 @@ def open_links(rows: DataFrame, components: DataFrame, units: DataFrame, thresho
                 continue
             held.append(batch)
             part = pa.Table.from_batches(held)
-            key, salt = part["key"].to_numpy(), part["salt"].to_numpy()
-            last = int(np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])])[-1])
+            key = part["key"].to_numpy()
+            last = int(np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[-1])
             if last:                                   # the last cell may go on: hold it
                 yield work(part.slice(0, last))
                 held[:] = part.slice(last).to_batches()
         if held:
             yield work(pa.Table.from_batches(held))
 
-    return several.repartition("key", "salt").sortWithinPartitions("key", "salt", "id").mapInArrow(
-        run, "a long, b long").distinct()
+    return several.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long")
 
 
 def _count(x: np.ndarray, weight: np.ndarray, y: np.ndarray, wy: np.ndarray, threshold: float) -> np.ndarray:
@@ -406,36 +439,33 @@ def _count_large(large: DataFrame, threshold: float, block: int) -> DataFrame:
         F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts")), "lattice-slices")
     placed = cut(placed.withColumn("slice", slice_no).join(per, ["component", "slice"]).withColumn(
         "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "lattice-placed")
-    blocks = placed.groupBy("component", "slice", "part").agg(
+    slices = placed.groupBy("component", "slice").agg(
         F.min("angle").alias("low"), F.max("angle").alias("high"), F.sum("weight").alias("weight"))
 
     def relate(rows: pa.Table) -> pa.Table:
-        """Block pairs of one component (its blocks are few: rows / block size); ``sure`` has no partner block."""
-        low, high, weight = (rows[c].to_numpy() for c in ("low", "high", "weight"))
-        s, p = rows["slice"].to_numpy(), rows["part"].to_numpy()
-        order = np.argsort(high, kind="stable")
-        upto = np.cumsum(weight[order])
-        out = {k: [] for k in ("slice", "part", "slice2", "part2", "sure")}
-        for i in range(len(low)):
-            surely = int(np.searchsorted(high[order], limit - slack - high[i], side="right"))
-            out["slice"].append([s[i]]), out["part"].append([p[i]])
-            out["slice2"].append([None]), out["part2"].append([None])
-            out["sure"].append([int(upto[surely - 1]) if surely else 0])
-            rest = order[surely:]
-            rest = rest[(low[rest] - high[i] <= limit + slack) & (low[i] - high[rest] <= limit + slack)]
-            k = len(rest)
-            out["slice"].append([s[i]] * k), out["part"].append([p[i]] * k)
-            out["slice2"].append(s[rest].tolist()), out["part2"].append(p[rest].tolist()), out["sure"].append([0] * k)
-        flat = {k: list(itertools.chain.from_iterable(v)) for k, v in out.items()}
-        n = len(flat["slice"])
-        return pa.table({"component": pa.array([rows["component"][0].as_py()] * n, pa.int64()),
-                         **{k: pa.array(v, pa.int64() if k == "sure" else pa.int32()) for k, v in flat.items()}})
-
-    plan = cut(blocks.groupBy("component").applyInArrow(
-        relate, "component long, slice int, part int, slice2 int, part2 int, sure long"), "lattice-plan")
-    sure = placed.join(plan.where(F.col("slice2").isNull()), ["component", "slice", "part"]).select(
+        """Slice pairs of one component (805 slices at most); ``sure`` has no partner slice."""
+        no, low, high, weight = (rows[c].to_numpy() for c in ("slice", "low", "high", "weight"))
+        linked = high[:, None] + high <= limit - slack
+        near = ~linked & (low - high[:, None] <= limit + slack) & (low[:, None] - high <= limit + slack)
+        i, j = np.nonzero(near)
+        n, k = len(no), len(i)
+        return pa.table({
+            "component": pa.array(np.full(n + k, rows["component"][0].as_py()), pa.int64()),
+            "slice": pa.array(np.r_[no, no[i]], pa.int32()),
+            "slice2": pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(no[j], pa.int32())]),
+            "sure": pa.array(np.r_[linked @ weight, np.zeros(k, np.int64)], pa.int64())})
+
+    plan = cut(slices.groupBy("component").applyInArrow(
+        relate, "component long, slice int, slice2 int, sure long"), "lattice-plan")
+    sure = placed.join(plan.where(F.col("slice2").isNull()), ["component", "slice"]).select(
         "id", F.col("sure").alias("near"))
-    meet = plan.where(F.col("slice2").isNotNull()).withColumn("pair", F.monotonically_increasing_id())
+
+    def dealt(slice_col: str, part_col: str) -> DataFrame:
+        return per.select("component", F.col("slice").alias(slice_col),
+                          F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias(part_col))
+
+    meet = plan.where(F.col("slice2").isNotNull()).drop("sure").join(dealt("slice", "part"), ["component", "slice"]).join(
+        dealt("slice2", "part2"), ["component", "slice2"]).withColumn("pair", F.monotonically_increasing_id())
     meet = cut(meet, "lattice-meet")
     base = placed.select("component", "slice", "part", "id", "vec", "weight")
     left = base.join(meet, ["component", "slice", "part"]).select(F.col("pair").alias("pair1"), "id", "vec", "weight")
@@ -453,16 +483,17 @@ def _count_large(large: DataFrame, threshold: float, block: int) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    threshold: float = THRESHOLD, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+                    threshold: float = THRESHOLD, seed: int = SEED, block: int = BLOCK,
+                    cell_rows: int = CELL_ROWS) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept."""
     named = cut(unit_vectors(vectors, id_col, vector_col), "lattice-units")
     copies = cut(named.groupBy("copy").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight")), "lattice-copies")
     units = cut(named.join(copies, "copy").where(F.col("id") == F.col("rep")).select("id", "vec", "weight"),
                 "lattice-reps")
-    pairs, rest = candidate_pairs(units, seed)
+    pairs, rest = candidate_pairs(units, seed, cell_rows)
     links = cut(verified(pairs, units, threshold), "lattice-links")
     components = cut(connected_components(links), "lattice-components")
-    more = cut(open_links(rest, components, units, threshold), "lattice-open-links")
+    more = cut(open_links(rest, components, units, threshold, cell_rows), "lattice-open-links")
     if not more.isEmpty():
         stars = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
         components = cut(connected_components(stars.union(more)), "lattice-components")

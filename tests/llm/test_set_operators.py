@@ -177,6 +177,50 @@ def test_embedding_links_of_a_dense_group_match_brute_force(spark):
     assert linked.any() and right >= 0.97 * len(x) and sum(r["n_links"] for r in by.values()) >= 0.96 * linked.sum()
 
 
+def test_links_of_crowded_cells_are_found_block_against_block(spark):
+    """Cells of over 64 vectors are cut into blocks here: nothing that shares a cell may be lost by that."""
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    rows = [centre + rng.normal(size=64) * 0.05 for _ in range(900)]
+    for _ in range(150):                                  # pairs of cosine 0.91 beside the crowd, in its cells
+        v = centre + rng.normal(size=64) * 0.09
+        v /= np.linalg.norm(v)
+        w = rng.normal(size=64)
+        w -= (w @ v) * v
+        rows += [v, 0.91 * v + math.sqrt(1 - 0.91 ** 2) * w / np.linalg.norm(w)]
+    x = np.array(rows)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (u @ u.T) >= 0.9
+    np.fill_diagonal(linked, False)
+    want = components(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(linked)) if a < b])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+    def wrong(cell_rows):
+        by = {r["vec_id"]: r for r in lattice.near_duplicates(df, block=200, cell_rows=cell_rows).collect()}
+        return {i for i in by if (by[i]["n_links"], by[i]["component_id"]) != (int(linked[i].sum()), want[i])}
+
+    split, whole = wrong(64), wrong(4096)
+    assert linked.sum() > 40_000 and split <= whole and len(split) <= 0.03 * len(x)
+
+
+def test_blocks_of_a_crowded_cell_meet_in_every_pair(spark):
+    """One cell of 1,000 rows, one component of 600 of them: each link between components is known afterwards."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1000, 8))
+    x[:600] = rng.normal(size=8) + rng.normal(size=(600, 8)) * 0.05
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    component = np.where(np.arange(1000) < 600, 0, np.arange(1000))
+    linked = (x @ x.T) >= 0.9
+    pairs = [(int(a), int(b)) for a, b in zip(*np.nonzero(linked)) if a < b]
+    rows = spark.createDataFrame([(1, int(i), int(component[i]), bytearray(x[i].tobytes())) for i in range(1000)],
+                                 "key long, id long, component long, vec binary")
+    found = [(r["a"], r["b"]) for r in lattice._links_between_blocks(rows, 0.9, 100).collect()]
+    own = [(0, i) for i in range(600)]
+    assert all(linked[a, b] for a, b in found) and not any(a < 600 and b < 600 for a, b in found)
+    assert components(range(1000), own + found) == components(range(1000), own + pairs)
+
+
 def test_lattice_decoding_finds_the_nearest_point():
     rng = np.random.default_rng(0)
     y = rng.normal(size=(200, 8)) * 2
