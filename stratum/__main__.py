@@ -34,8 +34,10 @@ def main(argv=None) -> dict:
                     help="catalog schemas that the warehouse stage publishes to")
     ap.add_argument("--raw-file", action="append", default=[], metavar="SOURCE=FILE",
                     help="file name of a source under --raw (default <source>.csv); repeat per source")
-    ap.add_argument("--single-line-csv", action="store_true",
-                    help="no CSV field holds a newline: split large files across tasks")
+    ap.add_argument("--csv-newlines", default="contract", choices=["contract", "all", "none"],
+                    help="sources whose quoted fields may hold newlines (such files are read by one task each)")
+    ap.add_argument("--single-line-csv", dest="csv_newlines", action="store_const", const="none",
+                    help="the same as --csv-newlines none")
     ap.add_argument("stages", nargs="*", default=list(STAGES))
     args = ap.parse_args(argv)
 
@@ -47,7 +49,7 @@ def main(argv=None) -> dict:
         apply_settings(spark, cluster_settings(int(args.input_gb * 2**30)))
     raw_files = dict(item.split("=", 1) for item in args.raw_file)
     job = LakeJob(spark, TableStore(args.lake, database=args.database), raw_dir=args.raw, buckets=args.buckets,
-                  raw_files=raw_files or None, csv_multi_line=not args.single_line_csv,
+                  raw_files=raw_files or None, csv_multi_line={"contract": None, "all": True, "none": False}[args.csv_newlines],
                   sources=standin.sources(spark, args.tables) if args.tables else None,
                   csv_mode=args.csv_mode, partition_facts=args.partition_facts,
                   schemas=tuple(args.schemas.split(",", 1)))

@@ -16,6 +16,7 @@ class Contract:
     owner: str
     pii: frozenset[str] = field(default_factory=frozenset)
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    multi_line: bool = False         # free text: quoted CSV fields may hold newlines
 
     @property
     def file(self) -> str:
@@ -77,7 +78,8 @@ REVIEWS = Contract(
     "reviews",
     "review_id STRING, order_id STRING, review_score INT, review_comment_title STRING, "
     "review_comment_message STRING, review_creation_date TIMESTAMP, review_answer_timestamp TIMESTAMP",
-    ("review_id", "order_id"), "cx", frozenset({"review_comment_title", "review_comment_message"}))
+    ("review_id", "order_id"), "cx", frozenset({"review_comment_title", "review_comment_message"}),
+    multi_line=True)
 CATEGORY_TRANSLATION = Contract(
     "category_translation",
     "product_category_name STRING, product_category_name_english STRING",

@@ -8,8 +8,10 @@
 * ``failfast``: header checked and the first bad row aborts the read;
 * ``permissive``: read by position, bad values become NULL (the lenient behaviour, for exploration only).
 
-``multi_line`` allows quoted fields with embedded newlines; such files cannot be split, so each file is one task.
-Sources without embedded newlines should pass ``multi_line=False`` so large files split across tasks.
+``multi_line`` allows quoted fields with embedded newlines; such files cannot be split, so each file is one task. By
+default the contract says whether a source needs it (those with free text); the other files are split across tasks, and
+a newline in one of their fields makes malformed rows, which strict mode keeps for the quarantine (permissive mode,
+which has nowhere to keep them, allows newlines in every source).
 """
 from __future__ import annotations
 
@@ -31,13 +33,15 @@ def _reader(spark: SparkSession, multi_line: bool):
 
 
 def read_contract_csv(spark: SparkSession, contract: Contract, path: str, mode: str = "strict",
-                      multi_line: bool = True, metadata: bool = True) -> DataFrame:
+                      multi_line: bool | None = None, metadata: bool = True) -> DataFrame:
     """S1/S2 (+S3/S4 when ``metadata``): a contract-typed frame from CSV."""
-    reader = _reader(spark, multi_line)
+    # the lenient reader keeps no malformed rows: a newline that it was not told of would garble values unseen
+    reader = _reader(spark, contract.multi_line or mode == "permissive" if multi_line is None else multi_line)
     schema = contract.schema
     if mode == "strict":
         schema = f"{schema}, {CORRUPT} STRING"
-        reader = (reader.option("enforceSchema", False).option("mode", "PERMISSIVE")
+        # no pruning: whether a row is malformed must not depend on the columns that a query happens to need
+        reader = (reader.option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnPruning", False)
                   .option("columnNameOfCorruptRecord", CORRUPT))
     elif mode == "failfast":
         reader = reader.option("enforceSchema", False).option("mode", "FAILFAST")

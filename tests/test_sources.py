@@ -23,7 +23,7 @@ GOOD = ("seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
 def test_strict_read_keeps_types_multiline_quotes_and_metadata(spark, tmp_root):
     p = f"{tmp_root}/sellers.csv"
     _write(p, GOOD)
-    df = read_contract_csv(spark, SELLERS, p)
+    df = read_contract_csv(spark, SELLERS, p, multi_line=True)
     good, bad = split_corrupt(df)
     rows = {r.seller_id: r for r in good.collect()}
     assert rows["s1"].seller_city == "sao\npaulo" and rows["s2"].seller_city == 'rio, "de" janeiro'
@@ -31,6 +31,34 @@ def test_strict_read_keeps_types_multiline_quotes_and_metadata(spark, tmp_root):
     assert bad.count() == 0
 
 
+def test_contracts_say_which_sources_may_hold_newlines(spark, tmp_root):
+    from stratum.contracts import REVIEWS, SOURCES
+    assert [n for n, c in SOURCES.items() if c.multi_line] == ["reviews"]
+    p = f"{tmp_root}/sellers.csv"
+    _write(p, GOOD)
+    good, bad = split_corrupt(read_contract_csv(spark, SELLERS, p))
+    assert [r.seller_id for r in good.collect()] == ["s2"] and bad.count() == 2      # both halves of the row are kept
+    lenient = read_contract_csv(spark, SELLERS, p, mode="permissive")
+    assert {r.seller_city for r in lenient.collect()} == {"sao\npaulo", 'rio, "de" janeiro'}
+    p = f"{tmp_root}/reviews.csv"
+    _write(p, ",".join(REVIEWS.column_names) + "\nr1,o1,5,ok,\"two\nlines\",2020-01-01 00:00:00,2020-01-02 00:00:00\n")
+    good, bad = split_corrupt(read_contract_csv(spark, REVIEWS, p))
+    assert good.first().review_comment_message == "two\nlines" and bad.count() == 0
+
+
+def test_large_single_line_files_are_split_over_tasks(spark, tmp_root):
+    p = f"{tmp_root}/sellers.csv"
+    _write(p, GOOD.splitlines()[0] + "\n" + "".join(f"s{i},{i % 99999},city {i},SP\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        split = read_contract_csv(spark, SELLERS, p)
+        assert split.count() == 20_000 and split.rdd.getNumPartitions() > 4
+        assert read_contract_csv(spark, SELLERS, p, multi_line=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_strict_read_rejects_reordered_missing_or_extra_columns(spark, tmp_root):
     for i, header in enumerate(["seller_zip_code_prefix,seller_id,seller_city,seller_state",
                                 "seller_id,seller_zip_code_prefix,seller_city",
@@ -70,9 +98,9 @@ def test_raw_string_read_keeps_empty_values_and_strips_bom(spark, tmp_root):
 def test_csv_round_trip_and_table_store(spark, tmp_root):
     p = f"{tmp_root}/in.csv"
     _write(p, GOOD)
-    df = read_contract_csv(spark, SELLERS, p, metadata=False)
+    df = read_contract_csv(spark, SELLERS, p, metadata=False, multi_line=True)
     write_csv(split_corrupt(df)[0], f"{tmp_root}/out")
-    back = read_contract_csv(spark, SELLERS, f"{tmp_root}/out", metadata=False)
+    back = read_contract_csv(spark, SELLERS, f"{tmp_root}/out", metadata=False, multi_line=True)
     assert split_corrupt(back)[0].count() == 2
     store = TableStore(f"file://{tmp_root}/lake")
     t = spark.range(10).withColumn("part", F.col("id") % 2)
