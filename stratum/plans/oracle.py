@@ -197,9 +197,7 @@ CTES = {
                CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, dayofweek(d) IN (0, 6) AS is_weekend
         FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
               FROM (SELECT min(CAST(order_purchase_timestamp AS DATE)) AS lo,
-                           greatest(max(CAST(order_estimated_delivery_date AS DATE)),
-                                    max(CAST(order_purchase_timestamp AS DATE))) AS hi FROM s_orders)
-              WHERE lo <= hi)""",
+                           max(CAST(order_estimated_delivery_date AS DATE)) AS hi FROM s_orders))""",
 }
 
 _DEPS_ORDER = list(CTES)

@@ -51,9 +51,9 @@ class Lake:
             self._gold = model.build(self.silver)
         return self._gold
 
-    def materialize(self) -> "Lake":
-        """Write silver, then gold built from it, once each as Parquet tables in a fresh folder under the
-        session's checkpoint directory, and continue from the written tables.
+    def materialize(self, silver: list[str] | None = None, gold: bool = True) -> "Lake":
+        """Write the named silver tables (all, if None) and, with ``gold``, the star schema built from them, once each
+        as Parquet in a fresh folder under the session's checkpoint directory, and continue from the written tables.
 
         Queries that check or catalogue many tables then scan each table once instead of re-deriving silver in
         every branch, exactly as the staged job does. (Parquet is much cheaper to write and scan than a
@@ -62,38 +62,39 @@ class Lake:
         from ..session import scratch_dir
         from ..sources.tables import TableStore
         store = TableStore(scratch_dir(self.spark, "lake"))
-        for n, df in self.silver.items():
-            store.write(df, "silver", n)
-        silver = {n: store.read(self.spark, "silver", n) for n in self.silver}
-        gold = model.build(silver)
-        store.write(gold["fact_orders"], "gold", "fact_orders")
-        facts = store.read(self.spark, "gold", "fact_orders")
-        gold.update({"fact_order_items": model.fact_order_items_from_facts(silver["order_items"], facts),
-                     "mart_daily_kpis": model.mart_daily_kpis(facts)})
-        for n, df in gold.items():
-            if n != "fact_orders":
-                store.write(df, "gold", n)
-        self._silver = silver
-        self._gold = {n: store.read(self.spark, "gold", n) for n in gold}
+
+        def written(layer: str, name: str, df: DataFrame) -> DataFrame:
+            store.write(df, layer, name)
+            return store.read(self.spark, layer, name)
+
+        self._silver = {n: written("silver", n, df) for n, df in self.silver.items() if silver is None or n in silver}
+        if gold:
+            built = model.build(self._silver)
+            facts = written("gold", "fact_orders", built["fact_orders"])
+            built.update(fact_order_items=model.fact_order_items_from_facts(self._silver["order_items"], facts),
+                         mart_daily_kpis=model.mart_daily_kpis(facts))
+            self._gold = {n: facts if n == "fact_orders" else written("gold", n, df) for n, df in built.items()}
         return self
 
 
 MATERIALIZE_CONF = "stratum.materialize"
 
 
-def _checked_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """The lake for queries that check or catalogue many tables.
-
-    Lazy by default: on small inputs re-deriving silver per check is cheaper than writing it. With the session
-    setting ``stratum.materialize=true`` (large inputs) silver and gold are written once and every check scans the
-    written tables, as the staged job does.
-    """
+def _checked_lake(spark: SparkSession, sf_dir: str, silver: list[str] | None = None, gold: bool = True) -> Lake:
+    """The lake for queries that check or catalogue many tables: written once, so that every check scans a written
+    table, as in the staged job. ``stratum.materialize=false`` derives the tables anew in every check instead, which
+    can be quicker on inputs of a few megabytes."""
     lake = Lake(spark, sf_dir)
-    if (spark.conf.get(MATERIALIZE_CONF, "false") or "false").lower() == "true":
-        lake.materialize()
+    if (spark.conf.get(MATERIALIZE_CONF, "true") or "true").lower() == "true":
+        lake.materialize(silver, gold)
     return lake
 
 
+def _silver_checks(spark: SparkSession, sf_dir: str, checks: list[quality.Check]) -> DataFrame:
+    needed = quality.tables_of(checks)
+    return quality.run_checks(_checked_lake(spark, sf_dir, needed, gold=False).silver, checks)
+
+
 # --- star schema and mart ----------------------------------------------------------------------------------------
 
 def q_mart_daily_kpis(spark, sf_dir):
@@ -218,13 +219,16 @@ def _silver_kind(kind):
 
 
 def _suite_query(kind):
+    """Row-local checks read each table once anyway; key checks read some tables several times, so from written ones."""
     def run(spark, sf_dir):
-        return quality.run_checks(Lake(spark, sf_dir).silver, _silver_kind(kind))
+        if kind in quality.LOCAL:
+            return quality.run_checks(Lake(spark, sf_dir).silver, _silver_kind(kind))
+        return _silver_checks(spark, sf_dir, _silver_kind(kind))
     return run
 
 
 def q_quality_suite(spark, sf_dir):
-    return quality.run_checks(_checked_lake(spark, sf_dir).silver, quality.silver_suite())
+    return _silver_checks(spark, sf_dir, quality.silver_suite())
 
 
 def _contract_checks():
@@ -236,7 +240,7 @@ def _contract_checks():
 def q_contract_checks(spark, sf_dir):
     """Checks derived from the contracts (key not null, key unique, domains) on every silver table, payments
     included."""
-    return quality.run_checks(_checked_lake(spark, sf_dir).silver, _contract_checks())
+    return _silver_checks(spark, sf_dir, _contract_checks())
 
 
 def q_gold_quality_suite(spark, sf_dir):

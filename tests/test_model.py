@@ -26,13 +26,16 @@ def test_date_key_and_dim_date(spark):
     assert orders.select(date_key("order_purchase_timestamp").alias("k")).first().k == 20180106
 
 
-def test_dim_date_covers_every_purchase_day_and_is_empty_without_dates(spark):
+def test_dim_date_bounds(spark):
     schema = "order_purchase_timestamp TIMESTAMP, order_estimated_delivery_date TIMESTAMP"
-    # an estimate before the purchase (or a missing one) still leaves the purchase day in the dimension
-    rev = spark.createDataFrame([(T(2018, 2, 1), T(2018, 1, 1)), (T(2018, 2, 3), None)], schema)
-    assert sorted(r.date_key for r in model.dim_date(rev).collect()) == [20180201, 20180202, 20180203]
-    none = spark.createDataFrame([(None, None)], schema)
-    assert model.dim_date(none).count() == 0
+
+    def days(rows, **options):
+        return sorted(r.date_key for r in model.dim_date(spark.createDataFrame(rows, schema), **options).collect())
+    bought_late = [(T(2018, 2, 1), T(2018, 2, 2)), (T(2018, 2, 4), None)]
+    assert days(bought_late) == [20180201, 20180202]                      # up to the last estimate
+    assert days(bought_late, cover_purchases=True) == [20180201, 20180202, 20180203, 20180204]
+    assert days([(T(2018, 3, 2), T(2018, 2, 28))]) == [20180228, 20180301, 20180302]      # the ends the other way round
+    assert days([(T(2018, 3, 2), None)]) == [] == days([(None, None)]) == days([])
 
 
 def _silver(spark):
