@@ -1,8 +1,9 @@
 """Referentially consistent sample.
 
 The first ``n`` orders by purchase time (ties by order_id) and every row that belongs to them: lines, payments and
-reviews of those orders, their customers, and the sellers and products their lines reference. The top-n is a
-``TakeOrderedAndProject`` (each partition keeps its own top n), computed once and checkpointed (n rows); the lines
+reviews of those orders, their customers, and the sellers and products their lines reference. A small top-n is a
+``TakeOrderedAndProject`` (each partition keeps its own top n); for a larger one the n-th time is found by counting
+(``first_rows``), so no task holds n rows. It is computed once and checkpointed (n rows); the lines
 of those orders are cut once and checkpointed too, and every member table is cut with a left-semi join against a
 bounded key set, broadcast when it is proven small, so no large table is shuffled.
 """
@@ -15,19 +16,57 @@ from ..session import ensure_checkpoint_dir
 from .joins import BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 
-# Largest sample: the top n is a TakeOrderedAndProject, where every task keeps n rows in memory.
-MAX_SAMPLE_ROWS = 5_000_000
+#: Up to this many rows the top n is a TakeOrderedAndProject, where every task keeps n rows in memory.
+TOP_N_ROWS = 1_000_000
+#: Time ranges counted at once while the n-th time is looked for.
+TIME_BINS = 1024
+
+
+def _nth_time(times: DataFrame, n: int, bins: int = TIME_BINS) -> tuple[int, int]:
+    """(t, rows before t) of the n-th smallest of the microseconds ``t``, of which there are at least ``n``.
+
+    The range that holds it is cut into ``bins`` parts and counted anew until it is one microsecond wide: six counts for
+    any span of years, each bringing at most ``bins`` rows to the driver."""
+    low, high = times.agg(F.min("t"), F.max("t")).first()
+    before = 0
+    while low < high:
+        width = (high - low) // bins + 1
+        part = F.floor((F.col("t") - low) / width) if width > 1 else F.col("t") - low
+        counts = dict(times.where(F.col("t").between(low, high)).groupBy(part.cast("long")).count().collect())
+        for k in sorted(counts):
+            if before + counts[k] >= n:
+                low, high = low + k * width, min(high, low + (k + 1) * width - 1)
+                break
+            before += counts[k]
+    return low, before
+
+
+def first_rows(df: DataFrame, n: int, order_col: str, tie_col: str, top_n: int = TOP_N_ROWS) -> DataFrame:
+    """O3: the first ``n`` rows by ``order_col`` (a timestamp, NULLs last) and then by ``tie_col``, for any ``n``.
+
+    Beyond ``top_n`` rows, all rows before the n-th time are taken by a filter, and only what is missing of that one
+    instant (or of the rows without a time) is ordered by ``tie_col``."""
+    order = [F.col(order_col).asc_nulls_last(), F.col(tie_col).asc_nulls_last()]
+    if n <= top_n:
+        return df.orderBy(*order).limit(n)
+    micros = F.unix_micros(F.col(order_col).cast("timestamp"))
+    total, timed = df.agg(F.count(F.lit(1)), F.count(order_col)).first()
+    if n >= total:
+        return df
+    if n >= timed:
+        sure, edge, missing = F.col(order_col).isNotNull(), F.col(order_col).isNull(), n - timed
+    else:
+        t, before = _nth_time(df.where(F.col(order_col).isNotNull()).select(micros.alias("t")), n)
+        sure, edge, missing = micros < t, micros == t, n - before
+    return df.where(sure).unionByName(df.where(edge).orderBy(*order).limit(missing))
 
 
 def sample_slice(src: dict[str, DataFrame], n: int = 2000,
                  order_col: str = "order_purchase_timestamp") -> dict[str, DataFrame]:
-    if n > MAX_SAMPLE_ROWS:
-        raise ValueError(f"sample of {n} orders: the top-n keeps n rows per task; use at most {MAX_SAMPLE_ROWS}")
     spark = src["orders"].sparkSession
     ensure_checkpoint_dir(spark)
     # the top n is computed once: a reliable checkpoint of its n rows, reused by every member's semi-join
-    orders = (src["orders"].orderBy(F.col(order_col).asc_nulls_last(), F.col("order_id").asc_nulls_last())
-              .limit(n).checkpoint(eager=True))
+    orders = first_rows(src["orders"], n, order_col, "order_id").checkpoint(eager=True)
     # the key sets have at most n rows: broadcast them while n is within the broadcast bound, else shuffle
     small = (lambda df: F.broadcast(df)) if n <= BROADCAST_MAX_ROWS else (lambda df: df)
     ids = small(orders.select("order_id"))
