@@ -44,6 +44,7 @@ class TableStore:
         scan of the path; Hive-style partition directories are discovered as columns."""
         if _same_path(self._registered_location(spark, layer, name), self.path(layer, name)):
             return spark.table(self.table_name(layer, name))
+        self._recover(spark, layer, name)
         return spark.read.parquet(self.path(layer, name))
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by: str | list[str] | None = None,
@@ -86,14 +87,61 @@ class TableStore:
 
     def rewrite(self, df: DataFrame, layer: str, name: str, partition_by: str | list[str] | None = None,
                 bucket_by: list[str] | None = None, buckets: int | None = None) -> int:
-        """Overwrite a table with a frame that reads from it.
+        """Overwrite a table with a frame that reads from it; returns the rows written.
 
-        The frame is materialised with a reliable ``checkpoint()`` (written under the session's checkpoint
-        directory, shared storage on a cluster) before the old files are deleted, so the plan no longer reads them.
+        The new version is written whole beside the table, in a folder that Spark's readers skip, while the old one
+        stays readable; then two renames put it in place (``_swap``). A failure while writing leaves the old table as it
+        was, one between the renames is made good by the next ``read`` or ``rewrite``. On stores that copy to rename
+        (some object stores) the swap takes as long as a copy, and readers may meet a half-moved folder.
+
+        A bucketed table keeps its entry in the catalog, so its frame is first cut loose from the old files by a
+        reliable ``checkpoint()`` (in the session's checkpoint folder) and then written over them.
         """
         from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        return self.write(df.checkpoint(eager=True), layer, name, partition_by, bucket_by=bucket_by, buckets=buckets)
+        spark = df.sparkSession
+        if bucket_by or self._registered_location(spark, layer, name):
+            ensure_checkpoint_dir(spark)
+            return self.write(df.checkpoint(eager=True), layer, name, partition_by, bucket_by=bucket_by, buckets=buckets)
+        self._recover(spark, layer, name)
+        rows = self.write(df, layer, _staged(name), partition_by)
+        self._swap(spark, layer, name)
+        return rows
+
+    def _swap(self, spark: SparkSession, layer: str, name: str) -> None:
+        """Put the staged version of a table in place of the old one, which goes only after that."""
+        fs, new = _hadoop(spark, self.path(layer, _staged(name)))
+        _, table = _hadoop(spark, self.path(layer, name))
+        _, old = _hadoop(spark, self.path(layer, _previous(name)))
+        fs.delete(old, True)
+        if fs.exists(table):
+            _rename(fs, table, old)
+        _rename(fs, new, table)
+        fs.delete(old, True)
+
+    def _recover(self, spark: SparkSession, layer: str, name: str) -> None:
+        """After a failure between the two renames the old version is back under the table's name."""
+        fs, old = _hadoop(spark, self.path(layer, _previous(name)))
+        _, table = _hadoop(spark, self.path(layer, name))
+        if not fs.exists(table) and fs.exists(old):
+            _rename(fs, old, table)
+
+
+def _staged(name: str) -> str:
+    return f"_{name}.next"
+
+
+def _previous(name: str) -> str:
+    return f"_{name}.previous"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
 
 
 def _same_path(a: str | None, b: str) -> bool:
