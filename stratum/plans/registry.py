@@ -78,14 +78,24 @@ class Lake:
 
 
 MATERIALIZE_CONF = "stratum.materialize"
+#: Bytes of the largest source table from which on checks read written tables.
+MATERIALIZE_BYTES = 2 * 2**30
+
+
+def _materializes(spark: SparkSession, sf_dir: str) -> bool:
+    setting = (spark.conf.get(MATERIALIZE_CONF, "auto") or "auto").lower()
+    if setting != "auto":
+        return setting == "true"
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return int(str(lines._jdf.queryExecution().analyzed().stats().sizeInBytes())) >= MATERIALIZE_BYTES
 
 
 def _checked_lake(spark: SparkSession, sf_dir: str, silver: list[str] | None = None, gold: bool = True) -> Lake:
-    """The lake for queries that check or catalogue many tables: written once, so that every check scans a written
-    table, as in the staged job. ``stratum.materialize=false`` derives the tables anew in every check instead, which
-    can be quicker on inputs of a few megabytes."""
+    """The lake for queries that check or catalogue many tables. Large inputs are written once, so that every check
+    scans a written table, as in the staged job; on small ones (by file sizes) deriving a table again in every check is
+    quicker than writing it. ``stratum.materialize=true`` or ``false`` decides for all sizes; results are the same."""
     lake = Lake(spark, sf_dir)
-    if (spark.conf.get(MATERIALIZE_CONF, "true") or "true").lower() == "true":
+    if _materializes(spark, sf_dir):
         lake.materialize(silver, gold)
     return lake
 

@@ -49,15 +49,15 @@ def test_entry_runs_on_the_smoke_tables(spark):
     assert df.count() > 0
 
 
-def test_a_lake_derived_in_every_check_gives_the_same_checks(spark, con):
-    from stratum.plans.registry import MATERIALIZE_CONF
-    spark.conf.set(MATERIALIZE_CONF, "false")
+@pytest.mark.parametrize("name", ["quality_report", "check_references"])
+def test_a_written_lake_gives_the_same_checks(spark, con, name):
+    spark.conf.set(registry.MATERIALIZE_CONF, "true")
     try:
-        df = QUERIES["quality_report"](spark, SF_SMALL)
+        df = QUERIES[name](spark, SF_SMALL)
         cols, srows = df.columns, [tuple(r) for r in df.collect()]
     finally:
-        spark.conf.unset(MATERIALIZE_CONF)
-    res = con.execute(ORACLE["quality_report"])
+        spark.conf.unset(registry.MATERIALIZE_CONF)
+    res = con.execute(ORACLE[name])
     assert rows_of(cols, srows) == rows_of([d[0] for d in res.description], res.fetchall())
 
 
@@ -68,3 +68,9 @@ def test_entry_pins_utc_so_results_do_not_depend_on_the_session_zone(spark, con)
     res = con.execute(ORACLE["hourly_windows"])
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of([d[0] for d in res.description],
                                                                             res.fetchall())
+
+
+def test_large_inputs_are_written_once_for_their_checks(spark, monkeypatch):
+    assert not registry._materializes(spark, SF_SMALL)
+    monkeypatch.setattr(registry, "MATERIALIZE_BYTES", 1)
+    assert registry._materializes(spark, SF_SMALL)

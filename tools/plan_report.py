@@ -87,8 +87,8 @@ def main():
              "before AQE re-plans at run time (AQE may still broadcast a measured-small side, coalesce partitions",
              "and split skewed ones). Partial aggregates and partial window limits reduce rows map-side before the",
              "shuffle. Counts are per plan, including the stand-in adapter that derives the contract sources; the",
-             "multi-table check and catalog queries re-derive silver per check here (cheapest on small inputs) and",
-             "scan written tables instead with `stratum.materialize=true`, as the staged job does. With bucketed",
+             "multi-table check and catalog queries re-derive silver per key here (quickest on small inputs) and",
+             "scan written tables instead on large inputs (or `stratum.materialize=true`), as the staged job does. With bucketed",
              "silver (`LakeJob(buckets=N)`) the gold order joins and rollups need no shuffle at all.", "",
              "| query | hash shuffles | range | single-partition | broadcasts | partial aggs | partial window limits "
              "| sort aggs | Python |",
