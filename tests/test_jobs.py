@@ -200,6 +200,35 @@ def test_machine_local_lake_is_refused_on_a_cluster():
         _require_shared_root("file:///tmp/lake", "spark://cluster:7077")
 
 
+class OnCluster:
+    """The session, as it would be with executors on other machines."""
+
+    def __init__(self, spark):
+        self._spark, self.conf = spark, self
+        self.get = lambda key, *default: "spark://cluster:7077" if key == "spark.master" else spark.conf.get(key, *default)
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+
+def test_lake_below_the_shared_checkpoint_folder_is_taken_on_a_cluster(spark, tmp_root):
+    from stratum.plans.jobs import _require_shared_root
+    from stratum.session import scratch_dir
+    cluster, frames = OnCluster(spark), {n: spark.createDataFrame([], c.schema) for n, c in SOURCES.items()}
+    frames["sellers"] = spark.createDataFrame([("s1", "1", "a", "b"), ("s2", None, "c", None)], SOURCES["sellers"].schema)
+    raw = scratch_dir(cluster, "test-raw")
+    for name, contract in SOURCES.items():
+        write_csv(frames[name], f"{raw}/{contract.file}")
+    counts = LakeJob(cluster, TableStore(f"{scratch_dir(cluster, 'test')}/lake"), raw_dir=raw).bronze()
+    assert counts == {n: 2 if n == "sellers" else 0 for n in SOURCES}
+    with pytest.raises(ValueError, match="machine-local"):
+        LakeJob(cluster, TableStore(f"file://{tmp_root}/lake"), raw_dir=raw)
+    for outside in ("file:/shared/folder2/lake", "file:/shared/folder/../lake", "file:/shared"):
+        with pytest.raises(ValueError, match="machine-local"):
+            _require_shared_root(outside, "spark://cluster:7077", "file:///shared/folder")
+    _require_shared_root("file:/shared/folder/lake", "spark://cluster:7077", "/shared/folder/")
+
+
 def test_contract_checks_add_warnings_to_the_silver_report(spark, tmp_root):
     job = LakeJob(spark, TableStore(f"file://{tmp_root}/lake"), sources=standin.sources(spark, SF_SMALL),
                   contract_checks=True, enforce_gates=("gold",))
