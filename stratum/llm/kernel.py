@@ -63,7 +63,7 @@ class Words:
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray):
         self.buf, self.offsets = buf, offsets
         n = len(buf)
-        inside = word_bytes[buf]
+        inside = word_bytes.take(buf)
         begin = inside.copy()
         begin[1:] &= ~inside[:-1]
         stop = inside.copy()
@@ -83,14 +83,14 @@ class Words:
         if self._sums is None:
             n = len(self.buf)
             sums = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(_BYTE_VALUE[self.buf] * _powers(_BASE, n), out=sums[1:])
+            np.cumsum(_BYTE_VALUE.take(self.buf) * _powers(_BASE, n), out=sums[1:])
             self._sums = sums
         return self._sums
 
     def hash_spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hash of the bytes of each span; equal bytes give equal hashes anywhere."""
         sums = self._prefix()
-        return mix((sums[end] - sums[start]) * _powers(_BASE_INV, len(self.buf) + 1)[start])
+        return mix((sums.take(end) - sums.take(start)) * _powers(_BASE_INV, len(self.buf) + 1).take(start))
 
     def hashes(self) -> np.ndarray:
         return self.hash_spans(self.start, self.end)

@@ -37,7 +37,8 @@ HEAD_WORDS = 100_000
 CLASSES, CLASS_SIZE = 32, 32
 TAILS = 16
 ROUNDS = 2
-BATCH = 8192
+BATCH = 8192      # positions of one gradient step
+BLOCK = 2048      # positions worked on at once where the result does not depend on it
 RATE = 0.15
 END = np.uint64(0x5851F42D4C957F2D)      # stands for the end of a document
 START = np.uint64(0x14057B7EF767814F)    # stands for what precedes it
@@ -69,12 +70,12 @@ def tokens(w: kernel.Words) -> Tokens:
     h[at] = w.hashes()
     h[first[1:] - 1] = END
     length = w.end - w.start
-    wide = np.zeros(len(w.buf) + 1, dtype=np.int64)
-    np.cumsum(w.buf >= 0x80, out=wide[1:])
     if len(w.start):
-        last = w.buf[w.end - 1]
+        last = w.buf.take(w.end - 1)
         plain = ((last >= 0x61) & (last <= 0x7A)) | (last >= 0x80)
-        tail[at] = (np.minimum(3, length // 4) * 2 + (wide[w.end] > wide[w.start])) * 2 + plain
+        wide = np.zeros(len(w.start), dtype=bool)      # words with bytes beyond ASCII; such a byte is always in a word
+        wide[np.searchsorted(w.start, np.flatnonzero(w.buf >= 0x80), side="right") - 1] = True
+        tail[at] = (np.minimum(3, length // 4) * 2 + wide) * 2 + plain
     doc = np.repeat(np.arange(n), np.diff(first))
     return Tokens(h, doc, tail, first)
 
@@ -89,12 +90,26 @@ class Vocabulary:
     tail_total: np.ndarray    # training tokens and distinct tokens of each tail class outside the ranked classes
     tail_distinct: np.ndarray
 
+    def _places(self) -> tuple[np.uint64, np.ndarray, np.ndarray]:
+        """(shift, where each value of the leading bits begins in ``head``, ``head`` with a last entry that none exceeds)"""
+        if "_index" not in self.__dict__:
+            bits = max(1, int(len(self.head)).bit_length() + 1)
+            shift = np.uint64(64 - bits)
+            begin = np.searchsorted(self.head, np.arange(1 << bits, dtype=np.uint64) << shift)
+            self._index = shift, begin, np.r_[self.head, np.uint64(2 ** 64 - 1)]
+        return self._index
+
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Index into ``head`` or -1."""
+        """Index into ``head`` or -1. Hashes are spread evenly: of those with the same leading bits few are in ``head``."""
         if not len(self.head):
             return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
-        return np.where(self.head[at] == h, at, -1)
+        shift, begin, head = self._places()
+        at = begin.take(h >> shift)
+        less = np.flatnonzero(head.take(at) < h)
+        while len(less):
+            at[less] += 1
+            less = less[head.take(at[less]) < h[less]]
+        return np.where((head.take(at) == h) & (at < len(self.head)), at, -1)
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
@@ -118,15 +133,19 @@ class Weights:
             at += a * b
 
 
-def _history(ids: np.ndarray, t: Tokens, back: int) -> np.ndarray:
+def _history(ids: np.ndarray, place: np.ndarray, back: int) -> np.ndarray:
     """``ids`` of the token ``back`` places before each token; the start's id before the document."""
     out = np.full(len(ids), ONE_ROWS - 1)
     out[back:] = ids[:-back] if back else ids
-    place = np.arange(len(ids)) - t.first[t.doc]
     out[place < back] = ONE_ROWS - 1
     return out
 
 
+def _place(t: Tokens) -> np.ndarray:
+    """Each token's place in its document."""
+    return np.arange(len(t.doc)) - t.first[t.doc]
+
+
 def _token_ids(vocabulary: Vocabulary, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(head index or -1, rank among class words or -1, row of the token as a feature)."""
     head = vocabulary.find(t.hash)
@@ -136,8 +155,12 @@ def _token_ids(vocabulary: Vocabulary, t: Tokens) -> tuple[np.ndarray, np.ndarra
     return head, ranked, np.where(ranked >= 0, ranked, rest)
 
 
-def _features(ids: np.ndarray, t: Tokens) -> list[np.ndarray]:
-    one, two, three = (_history(ids, t, k) for k in (1, 2, 3))
+def _features(ids: np.ndarray, t: Tokens, at: np.ndarray | None = None) -> list[np.ndarray]:
+    """Feature rows of all tokens, or of those ``at`` these positions of the chunk."""
+    place = _place(t)
+    one, two, three = (_history(ids, place, k) for k in (1, 2, 3))
+    if at is not None:
+        one, two, three = one[at], two[at], three[at]
     pair = kernel.mix(one.astype(np.uint64) * np.uint64(4099) + two.astype(np.uint64))
     return [one, (pair % np.uint64(PAIR_ROWS)).astype(np.int64), two, three]
 
@@ -147,42 +170,81 @@ def _inner_rows(feature: np.ndarray, cls: np.ndarray) -> np.ndarray:
             % np.uint64(INNER_ROWS)).astype(np.int64)
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log of the normaliser) by row."""
-    top = logits.max(axis=1, keepdims=True)
-    p = np.exp(logits - top)
-    z = p.sum(axis=1, keepdims=True)
-    p /= z
-    return p, (top + np.log(z))[:, 0]
+def _row_max(a: np.ndarray) -> np.ndarray:
+    """Largest entry of each row, by columns: several times quicker than along short rows."""
+    return np.ascontiguousarray(a.T).max(axis=0)
+
+
+def _logits(tables: list[np.ndarray], rows: list[np.ndarray], start: np.ndarray | None = None) -> np.ndarray:
+    """Sum of the rows of the tables, added one after the other (first to ``start``, if given)."""
+    out = tables[0].take(rows[0], axis=0)
+    if start is not None:
+        out += start
+    for table, r in zip(tables[1:], rows[1:]):
+        out += table.take(r, axis=0)
+    return out
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Probabilities by row, in place of the logits."""
+    logits -= _row_max(logits)[:, None]
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
+def _step(target: np.ndarray, memory: np.ndarray, rows, g: np.ndarray) -> None:
+    """Adagrad step on the named rows, which are distinct."""
+    seen = memory[rows] + g * g
+    memory[rows] = seen
+    target[rows] += RATE * g / np.sqrt(seen)
+
+
+def _sums(grad: np.ndarray, order: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sum of each run of the ordered rows, as ``reduceat`` gives it to the last bit (the first row, plus the sum of the
+    others). Short runs, the great part, are added up side by side: ``reduceat`` takes them one number at a time."""
+    count = np.diff(np.r_[begin, len(order)])
+    out = grad.take(order.take(begin), axis=0)
+    few = np.flatnonzero((count > 1) & (count <= 8))
+    if len(few):
+        others = grad.take(order.take(begin[few] + 1), axis=0)
+        k, more = 2, np.flatnonzero(count[few] > 2)
+        while len(more):
+            others[more] += grad.take(order.take(begin[few[more]] + k), axis=0)
+            k += 1
+            more = more[count[few[more]] > k]
+        out[few] += others
+    many = count > 8
+    if many.any():
+        starts = np.cumsum(count[many]) - count[many]
+        out[many] = np.add.reduceat(grad.take(order[np.repeat(many, count)], axis=0), starts, axis=0)
+    return out
 
 
 def _add_rows(target: np.ndarray, memory: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
     """Adagrad step on the rows that a batch touches."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")     # tables are short; 16-bit keys are sorted by radix
     r = rows[order]
     begin = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-    g = np.add.reduceat(grad[order], begin, axis=0)
-    r = r[begin]
-    memory[r] += g * g
-    target[r] += RATE * g / np.sqrt(memory[r])
+    _step(target, memory, r[begin], _sums(grad, order, begin))
 
 
 def _train_batch(w: Weights, m: Weights, feats: list[np.ndarray], cls: np.ndarray, slot: np.ndarray) -> None:
     n = len(cls)
-    logits = w.part[0][0] + w.part[1][feats[0]]
-    for k in (1, 2, 3):
-        logits += w.part[1 + k][feats[k]]
-    p, _ = _softmax(logits)
+    p = np.empty((n, Weights.OUT), dtype=w.flat.dtype)
+    for a in range(0, n, BLOCK):        # forward in blocks that stay in the processor's cache
+        b = slice(a, a + BLOCK)
+        p[b] = _softmax(_logits(w.part[1:5], [f[b] for f in feats], w.part[0][0]))
     np.negative(p, out=p)
     p[np.arange(n), cls] += 1.0
-    _add_rows(w.part[0], m.part[0], np.zeros(n, np.int64), p)
+    _step(w.part[0], m.part[0], slice(0, 1), np.add.reduceat(p, [0], axis=0))
     for k in range(4):
         _add_rows(w.part[1 + k], m.part[1 + k], feats[k], p)
     use = slot >= 0
     if use.any():
         c, s = cls[use], slot[use]
         rows = [c, _inner_rows(feats[0][use], c), _inner_rows(feats[2][use] + ONE_ROWS, c)]
-        p, _ = _softmax(w.part[5][rows[0]] + w.part[6][rows[1]] + w.part[7][rows[2]])
+        p = _softmax(_logits(w.part[5:8], rows))
         np.negative(p, out=p)
         p[np.arange(len(c)), s] += 1.0
         for k in range(3):
@@ -191,22 +253,22 @@ def _train_batch(w: Weights, m: Weights, feats: list[np.ndarray], cls: np.ndarra
 
 def log10_probabilities(w: Weights, feats: list[np.ndarray], cls: np.ndarray, slot: np.ndarray) -> np.ndarray:
     """log10 of P(class) * P(slot | class) for each token; tokens of tail classes (slot -1) get the class part only."""
+    def chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+        top = _row_max(logits)
+        picked = logits[np.arange(len(at)), at] - top
+        logits -= top[:, None]
+        return picked - np.log(np.exp(logits, out=logits).sum(axis=1))
+
     out = np.empty(len(cls))
-    for a in range(0, len(cls), 4 * BATCH):
-        b = slice(a, a + 4 * BATCH)
+    for a in range(0, len(cls), BLOCK):
+        b = slice(a, a + BLOCK)
         f, c, s = [x[b] for x in feats], cls[b], slot[b]
-        logits = w.part[0][0] + w.part[1][f[0]]
-        for k in (1, 2, 3):
-            logits += w.part[1 + k][f[k]]
-        top = logits.max(axis=1)
-        logp = logits[np.arange(len(c)), c] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+        logp = chosen(_logits(w.part[1:5], f, w.part[0][0]), c)
         use = s >= 0
         if use.any():
             cu, su = c[use], s[use]
-            inner = (w.part[5][cu] + w.part[6][_inner_rows(f[0][use], cu)]
-                     + w.part[7][_inner_rows(f[2][use] + ONE_ROWS, cu)])
-            top = inner.max(axis=1)
-            logp[use] += inner[np.arange(len(cu)), su] - top - np.log(np.exp(inner - top[:, None]).sum(axis=1))
+            rows = [cu, _inner_rows(f[0][use], cu), _inner_rows(f[2][use] + ONE_ROWS, cu)]
+            logp[use] += chosen(_logits(w.part[5:8], rows), su)
         out[b] = logp / LN10
     return out
 
@@ -312,12 +374,11 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.
                 for _, _, words in kernel.words(batch.column(0)):
                     t = tokens(words)
                     _, ranked, ids = _token_ids(v, t)
-                    cls, slot = _class_of(ranked, t.tail)
-                    feats = _features(ids, t)
-                    place = np.arange(len(cls)) - t.first[t.doc]     # in the document, however texts are chunked
-                    at = np.flatnonzero(place % rounds == r)
+                    at = np.flatnonzero(_place(t) % rounds == r)     # in the document, however texts are chunked
+                    cls, slot = _class_of(ranked[at], t.tail[at])
+                    feats = _features(ids, t, at)
                     for a in range(0, len(at), BATCH):
-                        b = at[a:a + BATCH]
+                        b = slice(a, a + BATCH)
                         _train_batch(w, m, [f[b] for f in feats], cls[b], slot[b])
                     seen += len(at)
             # the task's change, weighted by its positions, and that weight in the last place

@@ -207,3 +207,30 @@ def test_lm_probabilities_add_up_to_one():
     ranked = np.r_[np.arange(lm.CLASSES * lm.CLASS_SIZE), np.full(lm.TAILS, -1)]
     cls, slot = lm._class_of(ranked, np.r_[np.zeros(lm.CLASSES * lm.CLASS_SIZE, int), np.arange(lm.TAILS)])
     assert (10 ** lm.log10_probabilities(w, feats, cls, slot)).sum() == pytest.approx(1, abs=1e-4)
+
+
+@pytest.mark.parametrize("rows, values", [(1, 1), (9, 1), (300, 300), (5000, 40), (8192, 4096)])
+def test_runs_are_summed_as_reduceat_sums_them(rows, values):
+    rng = np.random.default_rng(rows)
+    grad, key = rng.normal(size=(rows, 48)).astype(np.float32), np.minimum(rng.zipf(1.3, rows), values)
+    order = np.argsort(key, kind="stable")
+    begin = np.flatnonzero(np.r_[True, np.diff(key[order]) > 0])
+    assert (lm._sums(grad, order, begin) == np.add.reduceat(grad[order], begin, axis=0)).all()
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 1000, 70_000])
+def test_vocabulary_finds_what_a_search_finds(size):
+    rng = np.random.default_rng(size)
+    every = np.unique(np.r_[rng.integers(0, 2 ** 64, 2 * size + 2, dtype=np.uint64), np.uint64(0), np.uint64(2 ** 64 - 1)])
+    every = np.unique(np.r_[every, every[:50] + np.uint64(1)])
+    for head in (np.sort(rng.permutation(every)[:size]), every[:size], every[len(every) - size:]):
+        vocabulary = lm.Vocabulary(head, np.ones(size), np.arange(size), size, size, np.zeros(1), np.zeros(1))
+        place = {int(h): i for i, h in enumerate(head)}
+        assert vocabulary.find(every).tolist() == [place.get(int(h), -1) for h in every]
+
+
+def test_words_beyond_ascii_have_tail_classes_of_their_own():
+    texts = pa.array(["ab äb", None, "", "x語 yz  é q"])
+    (_, _, w), = kernel.words(texts)
+    wide = (lm.tokens(w).tail // 2 % 2).tolist()
+    assert wide == [0, 1, 0, 0, 0, 1, 1, 1, 0, 0]
