@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import kernel
 from .components import connected_components
-from .tables import ARRAY_SCHEMA, add_arrays, array_rows, cut, small_batches, task_number
+from .tables import ARRAY_SCHEMA, add_arrays, array_rows, bounded_batches, cut, small_batches, task_number
 
 SHINGLE = 5
 PERCENT = 80
@@ -376,6 +376,7 @@ def _join_families(cells: DataFrame, sets: DataFrame, family: int, depth_limit:
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     family: int = FAMILY, depth: int = DEPTH) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable by links, itself included)."""
+    bounded_batches(documents.sparkSession)
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     order = _frequency_class(_sketch(rows.select("text"), size))
     docs = cut(_windows(rows, order, size), "ngram-docs")

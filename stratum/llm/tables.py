@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import scratch_dir
+from stratum.session import apply_settings, scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,17 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+#: Bytes of an Arrow batch that carries whole texts
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of about ``BATCH_BYTES``, unless the session sets a size. Texts reach Python tasks in batches; one
+    batch is held by the JVM (off its heap, in buffers that double as they fill) and by the Python worker, for each task
+    of an executor, and Spark alone lets it grow to 10,000 rows or 64 MB. The setting stays: the caller runs the result."""
+    apply_settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)})
+
+
 def text_or_empty(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 

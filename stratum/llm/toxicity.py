@@ -30,9 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import kernel
-from .tables import cut
+from .tables import bounded_batches, cut
 
 TRAIN_ROWS = 30_000
 PREFIXES = (4, 5, 6, 7)
@@ -217,6 +218,7 @@ def sample_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "t
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", where=None, train_rows: int = TRAIN_ROWS) -> Model:
     """The model from the labelled documents; ``where`` restricts the labels it may learn from."""
+    bounded_batches(documents.sparkSession)
     chosen = sample_labels(labels, id_col, label_col, where, train_rows)
     labelled = documents.select(F.col(id_col).alias("label_id"), F.col(text_col).cast("string").alias("text")).join(
         F.broadcast(chosen), "label_id")     # about train_rows short rows: bounded by the parameter
@@ -281,15 +283,20 @@ def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
           ) -> DataFrame:
     """``keep`` columns, id, ``score`` in [0, 1], ``n_words``, ``passages`` (significant ones, word positions)."""
     spark = documents.sparkSession
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    rows = documents.select(F.col(text_col).cast("string").alias("__text"),
-                            *[F.col(c).alias(f"k_{c}") for c in dict.fromkeys([id_col, *keep])])
-    kept = rows.schema.fields[1:]
+    names = list(dict.fromkeys([id_col, *keep]))
+    rows = documents.select(*[F.col(c).alias(f"k_{c}") for c in names])
+    kept = rows.schema.fields
+    at = names.index(text_col) if text_col in names else len(names)
+    if at == len(names) or kept[at].dataType != StringType():       # a text that is kept is not sent twice
+        at = len(names)
+        rows = documents.select(*[F.col(c).alias(f"k_{c}") for c in names], F.col(text_col).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for a, b, w in kernel.words(batch.column(0), kernel.ALNUM_WORDS):
+            for a, b, w in kernel.words(batch.column(at), kernel.ALNUM_WORDS):
                 segments, _ = doc_segments(model, w)
                 n = np.diff(w.first)
                 base = model.log_k + np.log(np.maximum(n, 1))
@@ -297,14 +304,14 @@ def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
                                 for f, la, s in found if model.rate * s > base[i]] for i, found in enumerate(segments)]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(model.score(statistic(model, n.astype(float), segments))),
+                    [*part.columns[:len(kept)], pa.array(model.score(statistic(model, n.astype(float), segments))),
                      pa.array(n, pa.int64()), pa.array(significant, pa.list_(PASSAGE))],
-                    names=[*part.schema.names[1:], "score", "n_words", "passages"])
+                    names=[*part.schema.names[:len(kept)], "score", "n_words", "passages"])
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "score double", "n_words long",
                         "passages array<struct<first_word:long,last_word:long,score:double>>"])
     out = rows.mapInArrow(run, schema)
-    return out.select(*[F.col(f"k_{c}").alias(c) for c in dict.fromkeys([id_col, *keep])], "score", "n_words", "passages")
+    return out.select(*[F.col(f"k_{c}").alias(c) for c in names], "score", "n_words", "passages")
 
 
 def held_out(id_col: str = "doc_id"):

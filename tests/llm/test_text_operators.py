@@ -11,8 +11,10 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from stratum.llm import kernel, licenses, lm, secrets, token_counts, toxicity
+from stratum.llm import kernel, licenses, lm, ngram_join, secrets, token_counts, toxicity
+from stratum.llm.tables import BATCH_BYTES
 
 from .helpers import LOWER, documents, words
 
@@ -161,6 +163,48 @@ def test_toxicity_learns_only_from_training_rows_and_separates_held_out_rows(spa
     assert toxicity.digest(docs.limit(0), table).count() == 0
 
 
+def _largest_batch(df) -> int:
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+    return max(r["size"] for r in df.mapInArrow(run, "size long").collect())
+
+
+@pytest.mark.parametrize("operator", [lambda d: toxicity.score(d, toxicity.Model()), ngram_join.near_duplicates])
+def test_texts_reach_python_tasks_in_bounded_batches(spark, operator):
+    own = spark.newSession()
+    own.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = own.range(0, 1500, 1, 1).select(F.col("id").alias("doc_id"), F.concat(
+        F.col("id").cast("string"), F.repeat(F.lit(" abcdefg"), 2000)).alias("text"))       # 24 MB in one partition
+    assert operator(docs).count() == 1500
+    assert _largest_batch(docs) <= 1.25 * BATCH_BYTES
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))             # the session's own size stays
+    assert operator(docs).count() == 1500
+    assert _largest_batch(docs) <= 1.25 * (1 << 20)
+
+
+def test_toxicity_results_do_not_depend_on_batches_and_kept_texts_are_sent_once(spark, capsys):
+    rows = [(i, None if i == 3 else "" if i == 4 else f"plain {i % 11} words {'zquorking ' * (i % 5 == 0)}here", "s")
+            for i in range(200)]
+    labels = [(i, int(i % 5 == 0)) for i in range(200)]
+    got = []
+    for size in ("64m", "1k"):
+        own = spark.newSession()
+        own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+        docs, table = documents(own, rows), own.createDataFrame(labels, "doc_id long, toxic int")
+        model = toxicity.fit(docs, table)
+        got.append([sorted(map(str, x.collect())) for x in (
+            toxicity.score(docs, model, keep=["text", "n_chars"]), toxicity.score(docs, model, keep=["lang"]),
+            toxicity.score(docs, model, id_col="text"), toxicity.score(docs, model, "doc_id", "n_chars", ["n_chars"]),
+            toxicity.keep_clean(docs, table))])
+    assert got[0] == got[1] and len(got[0][0]) == 200
+    plain = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert {r["doc_id"]: (r["text"], r["score"]) for r in toxicity.score(docs, model, keep=["text"]).collect()} == {
+        i: (t, plain[i]) for i, t, _ in rows}
+    toxicity.score(docs, model, keep=["text"]).explain()
+    assert "__text" not in capsys.readouterr().out
+
+
 def test_lm_base_score_matches_brute_force_and_the_model_beats_it(spark):
     rng = random.Random(1)
     chain = {k: [rng.choice("abcdefghij") * 3 for _ in range(3)] for k in [c * 3 for c in "abcdefghij"]}
