@@ -242,6 +242,37 @@ def test_collision_rate_is_the_generalised_jaccard_similarity(spark):
     assert len(r["a"]) == 2048 and abs(got - truth) < 4 * math.sqrt(truth * (1 - truth) / 2048)
 
 
+def test_terms_that_cannot_be_a_sample_are_left_out_early(spark):
+    """Two texts of 2,000 and 1,000 terms: the rows that reach the logarithms, and the same samples."""
+    df = spark.range(1, 2001).select(F.lit("g").alias("g"), F.col("id").alias("term"), (F.col("id") % 3 + 0.5).alias("a"),
+                                     F.when(F.col("id") % 2 == 0, F.lit(2.0)).alias("b"))
+    df = df.crossJoin(df.agg(F.sum("a").alias("of_a"), F.sum("b").alias("of_b"))).cache()
+    rows = [fingerprints.draws(df, ["g"], ["a", "b"], "term", 64, t).count() for t in (None, ["of_a", "of_b"])]
+    assert rows[0] == 2000 * 64 // fingerprints.AT_ONCE and rows[1] < rows[0] / 3
+    assert fingerprints.samples(df, ["g"], ["a", "b"], totals=["of_a", "of_b"]).collect() == fingerprints.samples(df, ["g"], ["a", "b"]).collect()
+
+
+@pytest.mark.parametrize("enough", [1e-9, 0.5, 4.0])
+def test_samples_that_are_not_found_early_are_drawn_anew(spark, monkeypatch, enough):
+    rng = random.Random(8)
+    docs = [(i, " ".join(f"W{rng.randrange(60)}" for _ in range(rng.choice([0, 1, 5, 300]))), "s") for i in range(30)]
+    docs += [(50, None, "s"), (51, "", "s"), (52, " \t ", "s"), docs[3], (None, "ÄA ä ÉÈ", "s")]
+    want = sorted(map(str, fingerprints.digest(documents(spark, docs)).collect()))
+    monkeypatch.setattr(fingerprints, "ENOUGH", enough)
+    first = fingerprints.fingerprints(documents(spark, docs).where("text != ''"), ["doc_id"], ["text"], every=False).collect()
+    found = [sum(x is not None for x in r["text"]) / 64 for r in first]
+    assert len(first) < 30 or np.mean(found) < 1 and (enough < 4 or np.mean(found) > 0.9)
+    assert sorted(map(str, fingerprints.digest(documents(spark, docs)).collect())) == want
+
+
+def test_words_are_lower_cased_one_by_one_as_whole_texts_were(spark):
+    """Letters other than A-Z stay, also those whose lower case is a letter of ASCII (the Kelvin sign)."""
+    texts = ["Ab CÄ\tÉx É", "K\u212a \u0130I", "x Y", "", " \n", "Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.explode(fingerprints.words(F.col("t"))).alias("w"))
+    got = Counter((r["t"], r["l"]) for r in df.select("t", fingerprints.lowered(F.col("w")).alias("l")).collect())
+    assert got == Counter((t, w) for t in texts for w in words(t))
+
+
 def test_fingerprints_use_no_python_workers(spark):
     df = fingerprints.digest(documents(spark, [(1, "a b", "s"), (2, "c d e f g h", "s")]))
     assert "Python" not in df._jdf.queryExecution().toString() and df.select(F.max("near_edited")).first()[0] <= 1
