@@ -8,9 +8,15 @@ and of the label.
 *Reading lists.* An anchor's scores in a block lie within the sum of its products with the zone map's interval ends.
 For each anchor the blocks are listed whose interval meets what it looks for: for positives the blocks of its label
 that reach the fifth best score in the anchor's own block, for negatives the blocks of another label that meet one
-of its windows. Only listed blocks meet the anchor: a block's row is joined by its number with the anchors that
-listed it, some thousand of each at a time, and yields the best few per anchor and window, which are merged by a
-window over the anchor. Bounds and scores are whole numbers, so the result does not depend on the blocks.
+of its windows. Only listed blocks meet the anchor: neighbouring blocks, a tile, are held by a task through which the
+rows of some thousand anchors pass that list one of them, each anchor once per tile with its lists of blocks. The best
+few per tile, anchor and window are merged by a window over the anchor. Bounds and scores are whole numbers, so the
+result does not depend on the blocks.
+
+*Sizes.* A row here holds some thousand vectors, and rows for many blocks repeat them, which Parquet's dictionary
+writes once. The size of a file thus tells little of its rows, and no join is left to Spark's guess of it, which would
+broadcast them by way of the driver: anchors meet the zone maps as a Cartesian product of file splits, tiles meet their
+anchors in one shuffle, and anchors meet their positives in a merge join.
 
 *Windows.* Every positive p of an anchor asks for the best negatives with 50 * p <= 100 * score <= 95 * p.
 
@@ -23,12 +29,13 @@ an empty table gives an empty result. Only the named columns are read.
 """
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -42,11 +49,15 @@ LEAST, MOST = 50, 95         # a negative's score in hundredths of the positive'
 BLOCK_ROWS = 2048
 ROW_BITS = 12                # of a row's number that tell its place in the block
 ANCHOR_ROWS = 2048           # anchors that look through the zone maps together
-ZONE_ROWS = 512              # zone maps looked through together
+ZONE_ROWS = 32               # blocks of a tile at most: their zone maps are looked through together
+TILE_BYTES = 32 << 20        # of a tile's blocks, at most if it has several
+CORE_TILES = 4               # tiles for each core at least, as far as there are blocks
+TILE_ASKED = 64              # rows of anchors that stream through a tile in one task, on average
+ZONES_BYTES = 32 << 20       # zone maps in one file
 TASK_ROWS = 65_536           # vectors sorted in one task
 SLICE = 256                  # anchors scored against a block at once
 KEY_DIMS, KEY_BITS = 15, 4   # dimensions and bits of each in the Hilbert key
-ROWS_AT_ONCE = 8             # rows of an Arrow batch where a row holds a block
+ROWS_AT_ONCE = 8             # rows of a batch, of Arrow or the Parquet reader, where a row holds a block
 
 BLOCK = "block long, n int, low binary, high binary, label_low long, label_high long, ids binary, labels binary, x binary"
 ANCHOR = "uid long, anchor_id long, label long, x binary, least long"
@@ -86,13 +97,16 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 @dataclass
 class Frame:
-    """What the tasks share: the width, the bound of the whole numbers and the quantisation of the Hilbert key."""
+    """What the tasks share: the width, the bound of the whole numbers, the quantisation of the Hilbert key; in how many
+    tasks the vectors are sorted, and how many low bits of a block's number its tile leaves out."""
     dims: int
     rows: int
     most: int
     axes: np.ndarray
     middle: np.ndarray
     width: np.ndarray
+    parts: int = 1
+    bits: int = 0
 
     def key(self, x: np.ndarray) -> np.ndarray:
         if not len(self.axes):
@@ -146,6 +160,20 @@ def _batch(names: str, columns: list) -> pa.RecordBatch:
                                       names=[n for n, _ in fields])
 
 
+@contextlib.contextmanager
+def large_rows(spark: SparkSession) -> Iterator[None]:
+    """Batches of ``ROWS_AT_ONCE`` rows for what runs inside, also where Parquet is read: its reader holds a batch of
+    every column, of 4,096 rows if nothing is set."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(ROWS_AT_ONCE))
+    try:
+        with small_batches(spark, ROWS_AT_ONCE):
+            yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def blocks(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label: Column | str = "label"
            ) -> tuple[DataFrame | None, Frame | None]:
     """The written table of blocks in Hilbert order, and what the tasks share; (None, None) if no row takes part."""
@@ -157,6 +185,10 @@ def blocks(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     shape = frame(rows)
     if shape is None:
         return None, None
+    full, cores = -(-shape.rows // BLOCK_ROWS), spark.sparkContext.defaultParallelism
+    shape.parts = max(min(cores, full), -(-shape.rows // TASK_ROWS))
+    held = min(ZONE_ROWS, TILE_BYTES // (BLOCK_ROWS * (4 * shape.dims + 16)), full // max(1, CORE_TILES * cores))
+    shape.bits = max(1, held).bit_length() - 1
     shared = spark.sparkContext.broadcast(shape)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,9 +226,8 @@ def blocks(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         if size:
             yield block(pa.Table.from_batches(held))
 
-    parts = max(min(spark.sparkContext.defaultParallelism, -(-shape.rows // BLOCK_ROWS)), -(-shape.rows // TASK_ROWS))
     placed = rows.mapInArrow(place, "key long, id long, label long, x binary")
-    sorted_rows = placed.repartitionByRange(parts, "key", "id", "label").sortWithinPartitions("key", "id", "label")
+    sorted_rows = placed.repartitionByRange(shape.parts, "key", "id", "label").sortWithinPartitions("key", "id", "label")
     return cut(sorted_rows.mapInArrow(pack, BLOCK), "negatives-blocks"), shape
 
 
@@ -247,14 +278,16 @@ def anchors(table: DataFrame, shape: Frame, every: int, positives: int = POSITIV
                     yield _batch(ANCHOR, [(number << ROW_BITS) + at, ids[at], labels[at], [r.tobytes() for r in x[at]],
                                           pa.array(least, mask=~known)])
 
-    with small_batches(table.sparkSession, ROWS_AT_ONCE):
+    with large_rows(table.sparkSession):
         return cut(table.select("block", "ids", "labels", "x").mapInArrow(run, ANCHOR), "negatives-anchors")
 
 
 #: An anchor as it looks for something: ``windows`` are (positive, positive id, its score) as longs, none when positives
 #: are looked for.
 ASKED = "uid binary, anchor_id binary, label binary, x binary, least binary, windows binary"
-LISTED = "block long, " + ASKED
+#: For a tile, its ``blocks`` that are listed, how many anchors list each (``n``) and the uid of each of these, block by
+#: block; the anchors follow once, by uid.
+LISTED = "tile long, blocks binary, n binary, " + ASKED
 
 
 def _gather(dims: int):
@@ -271,15 +304,20 @@ def _gather(dims: int):
     return run
 
 
-def _zones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, ZONE_ROWS):
-            part = batch.slice(at, ZONE_ROWS)
-            yield _batch(ZONES, [[_long(part.column(0)).tobytes()], *[[b"".join(part.column(c).to_pylist())] for c in (1, 2)],
-                                 [_long(part.column(3)).tobytes()], [_long(part.column(4)).tobytes()]])
+ZONES = "tile long, block binary, low binary, high binary, label_low binary, label_high binary"
 
 
-ZONES = "block binary, low binary, high binary, label_low binary, label_high binary"
+def _zones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Zone maps, those of a tile that stand together in one row."""
+    for batch in batches:
+        tile = _long(batch.column(0))
+        for run in np.split(np.arange(len(tile)), np.flatnonzero(np.diff(tile)) + 1):
+            if not len(run):
+                continue
+            part = batch.slice(run[0], len(run))
+            yield _batch(ZONES, [[int(tile[run[0]])], [_long(part.column(1)).tobytes()],
+                                 *[[b"".join(part.column(c).to_pylist())] for c in (2, 3)],
+                                 [_long(part.column(4)).tobytes()], [_long(part.column(5)).tobytes()]])
 
 
 def bounds(a: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -305,16 +343,16 @@ def _arrays(values: list, dims: int) -> tuple[np.ndarray, ...]:
 
 
 def reading_lists(asked: DataFrame, table: DataFrame, shape: Frame) -> DataFrame:
-    """Rows of ``LISTED``: for each block the anchors that must read it. Every gathered row of anchors meets every
-    gathered row of zone maps, some thousand of each."""
-    dims = shape.dims
+    """Rows of ``LISTED``: for each tile the anchors that must read one of its blocks, and which. Every gathered row of
+    anchors meets the zone maps of every tile."""
+    spark, dims = table.sparkSession, shape.dims
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for values in zip(*(batch.column(c).to_pylist() for c in range(11))):
+            for values in zip(*(batch.column(c).to_pylist() for c in range(12))):
                 uid, anchor_id, label, x, least, windows = _arrays(values[:6], dims)
-                block, first, last = (np.frombuffer(values[k], np.int64) for k in (6, 9, 10))
-                low, high = (np.frombuffer(values[k], np.int32).reshape(len(block), dims) for k in (7, 8))
+                block, first, last = (np.frombuffer(values[k], np.int64) for k in (7, 10, 11))
+                low, high = (np.frombuffer(values[k], np.int32).reshape(len(block), dims) for k in (8, 9))
                 under, over = bounds(x, low, high)
                 if windows.shape[1]:
                     wanted = np.zeros(under.shape, dtype=bool)
@@ -324,50 +362,85 @@ def reading_lists(asked: DataFrame, table: DataFrame, shape: Frame) -> DataFrame
                 else:
                     wanted = (first[None, :] <= label[:, None]) & (label[:, None] <= last[None, :])
                     wanted &= over >= least[:, None]
-                for b in np.flatnonzero(wanted.any(axis=0)):
-                    at = np.flatnonzero(wanted[:, b])
-                    yield _batch(LISTED, [[int(block[b])], *[[np.ascontiguousarray(c[at]).tobytes()] for c in (
-                        uid, anchor_id, label, x, least, windows)]])
-
-    spark = table.sparkSession
-    zones = cut(table.select("block", "low", "high", "label_low", "label_high").mapInArrow(_zones, ZONES), "negatives-zones")
-    tiles = max(1, zones.count())
-    dealt = zones.select(F.pmod(F.xxhash64("block"), F.lit(tiles)).cast("int").alias("tile"), F.struct("*").alias("zone"))
-    both = asked.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).join(dealt, "tile")
-    return both.select(*asked.columns, "zone.*").mapInArrow(run, LISTED)
-
-
-def read(listed: DataFrame, table: DataFrame, shape: Frame, k: int) -> DataFrame:
-    """Rows of ``FOUND``: the ``k`` best rows of each listed block, per anchor (of its label) or per window (of
-    another label)."""
+                at, some = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+                if not len(at):
+                    continue
+                at = at[np.argsort(uid[at])]
+                lists = wanted[np.ix_(at, some)].T
+                yield _batch(LISTED, [[values[6]], [block[some].tobytes()], [lists.sum(axis=1, dtype=np.int64).tobytes()],
+                                      [uid[at][np.nonzero(lists)[1]].tobytes()],
+                                      *[[np.ascontiguousarray(c[at]).tobytes()] for c in (anchor_id, label, x, least, windows)]])
+
+    maps = table.select(_tile(shape), "block", "low", "high", "label_low", "label_high")
+    files = -(-shape.rows // BLOCK_ROWS) * (8 * dims + 24) // ZONES_BYTES + 1
+    with small_batches(spark, 32 * ZONE_ROWS):
+        zones = cut(maps.mapInArrow(_zones, ZONES).repartition(files), "negatives-zones")
+    return asked.hint("shuffle_replicate_nl").crossJoin(zones).mapInArrow(run, LISTED)
+
+
+def _tile(shape: Frame) -> Column:
+    return F.shiftright("block", shape.bits).alias("tile")
+
+
+def _merged(found: list[list[np.ndarray]], k: int) -> pa.RecordBatch:
+    """Columns of ``FOUND`` from several blocks, the ``k`` best per anchor and window; equal scores by the smaller id."""
+    uid, anchor_id, positive, positive_id, positive_score, ids, score = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((ids, -score, positive, uid))
+    new = np.r_[True, (np.diff(uid[order]) != 0) | (np.diff(positive[order]) != 0)][:len(order)]
+    place = np.arange(len(order))
+    order = order[place - np.maximum.accumulate(np.where(new, place, 0)) < k]
+    return _batch(FOUND, [uid[order], anchor_id[order], positive[order].astype(np.int32), positive_id[order],
+                          positive_score[order], ids[order], score[order]])
+
+
+def read(listed: DataFrame, table: DataFrame, shape: Frame, k: int, slices: int = 1) -> DataFrame:
+    """Rows of ``FOUND``: the ``k`` best rows of the listed blocks, per anchor (of its label) or per window (of another
+    label). A task holds a tile's blocks while the rows that list them pass; ``slices`` tasks share the rows of a tile."""
     dims = shape.dims
 
+    def best(block: int, ids: np.ndarray, labels: np.ndarray, y: np.ndarray, asked: tuple[np.ndarray, ...]
+             ) -> Iterator[list[np.ndarray]]:
+        for at in range(0, len(asked[0]), SLICE):
+            uid, anchor_id, label, x, least, windows, lowest, highest = (c[at:at + SLICE] for c in asked)
+            score = _scores(x, y)
+            same = label[:, None] == labels[None, :]
+            if windows.shape[1] == 0:
+                own = np.flatnonzero(uid >> ROW_BITS == block)
+                same[own, uid[own] & ((1 << ROW_BITS) - 1)] = False
+                i, j = _best(score, same & (score >= least[:, None]), k)
+                zero = np.zeros(len(i), np.int64)
+                yield [uid[i], anchor_id[i], zero, zero, zero, ids[j], score[i, j]]
+                continue
+            for p, (lo, hi) in enumerate(zip(lowest.T, highest.T)):
+                i, j = _best(score, ~same & (score >= lo[:, None]) & (score <= hi[:, None]), k)
+                w = windows[i, p]
+                yield [uid[i], anchor_id[i], w[:, 0], w[:, 1], w[:, 2], ids[j], score[i, j]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, {}
         for batch in batches:
-            for values in zip(*(batch.column(c).to_pylist() for c in range(10))):
-                uid, anchor_id, label, x, least, windows = _arrays(values[:6], dims)
-                number, ids, labels = values[6], np.frombuffer(values[7], np.int64), np.frombuffer(values[8], np.int64)
-                y = np.frombuffer(values[9], np.int32).reshape(len(ids), dims)
-                for at in range(0, len(uid), SLICE):
-                    s = slice(at, at + SLICE)
-                    score = _scores(x[s], y)
-                    same = label[s, None] == labels[None, :]
-                    if windows.shape[1] == 0:
-                        own = np.flatnonzero(uid[s] >> ROW_BITS == number)
-                        same[own, uid[s][own] & ((1 << ROW_BITS) - 1)] = False
-                        i, j = _best(score, same & (score >= least[s, None]), k)
-                        zero = np.zeros(len(i), np.int64)
-                        yield _batch(FOUND, [uid[s][i], anchor_id[s][i], zero.astype(np.int32), zero, zero, ids[j], score[i, j]])
-                        continue
-                    for p, (lo, hi) in enumerate(zip(*(w.T for w in _limits(windows[s])))):
-                        i, j = _best(score, ~same & (score >= lo[:, None]) & (score <= hi[:, None]), k)
-                        w = windows[s][i, p]
-                        yield _batch(FOUND, [uid[s][i], anchor_id[s][i], w[:, 0].astype(np.int32), w[:, 1], w[:, 2],
-                                             ids[j], score[i, j]])
-
-    rows = listed.join(table.select("block", "ids", "labels", "x").withColumnsRenamed({"labels": "row_labels", "x": "rows"}),
-                       "block").select("uid", "anchor_id", "label", "x", "least", "windows", "block", "ids", "row_labels", "rows")
-    found = rows.mapInArrow(run, FOUND)
+            for values in zip(*(column.to_pylist() for column in batch.columns)):
+                tile, block, ids, labels, y, some, n = values[0], *values[3:9]
+                if tile != here:
+                    here, held = tile, {}
+                if block is not None:
+                    ids, labels = np.frombuffer(ids, np.int64), np.frombuffer(labels, np.int64)
+                    held[block] = ids, labels, np.frombuffer(y, np.int32).reshape(len(ids), dims)
+                    continue
+                uid, at = np.unique(np.frombuffer(values[9], np.int64), return_inverse=True)
+                asked = _arrays([uid.tobytes(), *values[10:]], dims)
+                asked += _limits(asked[5])
+                lists = np.split(at, np.cumsum(np.frombuffer(n, np.int64))[:-1])
+                found = [f for b, own in zip(np.frombuffer(some, np.int64).tolist(), lists)
+                         for f in best(b, *held[b], tuple(c[own] for c in asked))]
+                yield _merged(found, k)
+
+    own = table.select(_tile(shape), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), F.lit(0).alias("kind"),
+                       "block", "ids", F.col("labels").alias("row_labels"), F.col("x").alias("rows"))
+    asking = listed.withColumns({"slice": F.pmod(F.xxhash64("uid"), F.lit(slices)).cast("int"), "kind": F.lit(1)})
+    parts = ((-(-shape.rows // BLOCK_ROWS) >> shape.bits) + shape.parts) * slices
+    rows = own.unionByName(asking, allowMissingColumns=True).repartition(parts, "tile", "slice")
+    found = rows.sortWithinPartitions("tile", "slice", "kind").mapInArrow(run, FOUND)
     order = F.row_number().over(W.partitionBy("uid", "positive").orderBy(F.col("score").desc(), "id"))
     return found.withColumn("rank", order).where(F.col("rank") <= k)
 
@@ -384,13 +457,13 @@ def mine(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     own = anchors(table, shape, every, positives)
     with small_batches(spark, ANCHOR_ROWS):
         asked = cut(own.mapInArrow(_gather(shape.dims), ASKED), "negatives-asked")
-    with small_batches(spark, ROWS_AT_ONCE):
-        listed = cut(reading_lists(asked, table, shape), "negatives-lists")
-        near = cut(read(listed, table, shape, positives), "negatives-positives")
+    slices = max(1, -(-asked.count() // TILE_ASKED))
+    with large_rows(spark):
+        near = cut(read(reading_lists(asked, table, shape), table, shape, positives, slices), "negatives-positives")
     # windows: the positives of an anchor in order, always ``positives`` triples of longs (zeros where it has fewer)
     triple = F.struct("rank", F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
     grouped = near.groupBy("uid").agg(F.sort_array(F.collect_list(triple)).alias("windows"))
-    chosen = own.join(grouped, "uid").repartitionByRange(
+    chosen = own.hint("merge").join(grouped, "uid").repartitionByRange(
         max(1, -(-shape.rows // (every * ANCHOR_ROWS))), "uid").sortWithinPartitions("uid")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,9 +478,8 @@ def mine(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     with small_batches(spark, ANCHOR_ROWS):
         again = cut(chosen.mapInArrow(windows, ANCHOR + ", windows binary").mapInArrow(_gather(shape.dims), ASKED),
                     "negatives-windows")
-    with small_batches(spark, ROWS_AT_ONCE):
-        listed = cut(reading_lists(again, table, shape), "negatives-lists")
-        found = cut(read(listed, table, shape, negatives), "negatives-found")
+    with large_rows(spark):
+        found = cut(read(reading_lists(again, table, shape), table, shape, negatives, slices), "negatives-found")
     return found.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("negative_id"),
                         "positive_score", F.col("score").alias("negative_score"))
 

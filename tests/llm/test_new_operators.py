@@ -104,6 +104,46 @@ def test_zone_maps_keep_far_blocks_off_the_reading_lists(spark, monkeypatch):
     assert 0 < pairs < 0.5 * own.count() * table.count()
 
 
+def test_no_join_of_hard_negatives_goes_by_the_size_of_files(spark, monkeypatch):
+    """Lists of a few blocks repeat the anchors' vectors and make tiny files: Spark would broadcast them, by way of the
+    driver. Plans are looked at as they ran."""
+    plans = []
+
+    def cut(df, tag, written=negatives.cut):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, tag)
+
+    monkeypatch.setattr(negatives, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(negatives, "cut", cut)
+    rng = np.random.default_rng(3)
+    rows = [(i, list(np.round(rng.normal(size=6), 2)), i % 3) for i in range(500)]
+    got = Counter(tuple(r) for r in negatives.mine(vectors(spark, rows)).collect())
+    assert got == brute_negatives(clean(rows, 6)) and got
+    assert len(plans) > 5 and not [p for p in plans if "Broadcast" in p or "isFinalPlan=false" in p]
+
+
+@pytest.mark.parametrize("zone_rows", [2, 32])
+def test_tiles_of_several_blocks_hold_each_anchor_once(spark, monkeypatch, zone_rows):
+    monkeypatch.setattr(negatives, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(negatives, "ANCHOR_ROWS", 3)
+    monkeypatch.setattr(negatives, "ZONE_ROWS", zone_rows)
+    monkeypatch.setattr(negatives, "CORE_TILES", 0)
+    monkeypatch.setattr(negatives, "TILE_ASKED", 2)      # and several tasks for the anchors of a tile
+    rng = np.random.default_rng(4)
+    rows = [(i, list(rng.integers(-3, 4, 4) / 16), int(rng.integers(0, 3))) for i in range(900)]     # many ties
+    rows += [(i, rows[100][1], i % 3) for i in range(900, 1000)]
+    want = brute_negatives(clean(rows, 4))
+    assert Counter(tuple(r) for r in negatives.mine(vectors(spark, rows)).collect()) == want and len(want) > 100
+    table, shape = negatives.blocks(vectors(spark, rows))
+    tiles = table.select(negatives._tile(shape)).distinct().count()
+    asked = negatives.anchors(table, shape, 50).mapInArrow(negatives._gather(shape.dims), negatives.ASKED)
+    lists = negatives.reading_lists(asked, table, shape).collect()
+    pairs = sum(len(r["uid"]) // 8 for r in lists)
+    assert tiles < 0.7 * table.count() and len(lists) <= 1.5 * tiles * asked.count()
+    assert sum(len(r["label"]) // 8 for r in lists) <= 1.5 * 20 * tiles < pairs
+
+
 # -- whitening -----------------------------------------------------------------------------------------------------
 
 def test_bit_planes_give_exact_products_of_numbers_of_any_size():
