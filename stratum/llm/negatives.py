@@ -232,28 +232,39 @@ def blocks(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
 
 
 def _scores(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exact: doubles where they hold every sum, else longs."""
+    """Inner products of whole numbers, exact: floats or doubles where they hold every sum, else longs."""
     most = int(np.abs(a).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(1, a.shape[1])
+    if most < 1 << 24:
+        return (a.astype(np.float32) @ x.astype(np.float32).T).astype(np.int64)
     if most < 1 << 53:
         return (a.astype(float) @ x.astype(float).T).astype(np.int64)
     return a.astype(np.int64) @ x.astype(np.int64).T
 
 
-NONE = np.iinfo(np.int64).min
-
-
-def _best(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, place) of each row's k largest allowed scores, the earlier place first among equal ones. A stable sort of
-    what is not below the k-th largest score settles ties, however many rows share a score."""
-    held = np.where(allowed, scores, NONE)
-    if held.shape[1] > k:
-        kth = np.partition(held, held.shape[1] - k, axis=1)[:, held.shape[1] - k]
-    else:
-        kth = np.full(len(held), NONE)
-    above = allowed & (held > kth[:, None])
-    level = allowed & (held == kth[:, None])
-    level &= np.cumsum(level, axis=1) <= (k - above.sum(axis=1))[:, None]
-    return np.nonzero(above | level)
+NONE, MOST_LONG = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+
+
+def _best(scores: np.ndarray, allowed: np.ndarray, low: np.ndarray, high: np.ndarray, k: int
+          ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each range (a column of ``low`` and ``high``, one bound for each row): (row, place, score) of each row's ``k``
+    largest allowed scores within it, the earlier place first among equal ones. ``low`` is raised to the k-th of these.
+    Only scores that some range of the row holds are sorted, once for all ranges."""
+    some = low <= high
+    least = np.where(some, low, MOST_LONG).min(axis=1)
+    most = np.where(some, high, NONE).max(axis=1)
+    i, j = np.nonzero(allowed & (scores >= least[:, None]) & (scores <= most[:, None]))
+    score = scores[i, j]
+    order = np.lexsort((-score, i))         # stable: the earlier place first
+    i, j, score = i[order], j[order], score[order]
+    ends = np.searchsorted(i, np.arange(len(scores) + 1))
+    for p in range(low.shape[1]):
+        above = np.bincount(i[score > high[i, p]], minlength=len(scores))
+        at = (ends[:-1] + above)[:, None] + np.arange(k)
+        held = at < ends[1:, None]
+        held[held] = score[at[held]] >= np.broadcast_to(low[:, p, None], at.shape)[held]
+        full = np.flatnonzero(held[:, -1])
+        low[full, p] = score[at[full, -1]]
+        yield np.nonzero(held)[0], j[at[held]], score[at[held]]
 
 
 def anchors(table: DataFrame, shape: Frame, every: int, positives: int = POSITIVES) -> DataFrame:
@@ -398,23 +409,21 @@ def read(listed: DataFrame, table: DataFrame, shape: Frame, k: int, slices: int
     label). A task holds a tile's blocks while the rows that list them pass; ``slices`` tasks share the rows of a tile."""
     dims = shape.dims
 
-    def best(block: int, ids: np.ndarray, labels: np.ndarray, y: np.ndarray, asked: tuple[np.ndarray, ...]
-             ) -> Iterator[list[np.ndarray]]:
-        for at in range(0, len(asked[0]), SLICE):
-            uid, anchor_id, label, x, least, windows, lowest, highest = (c[at:at + SLICE] for c in asked)
-            score = _scores(x, y)
-            same = label[:, None] == labels[None, :]
-            if windows.shape[1] == 0:
-                own = np.flatnonzero(uid >> ROW_BITS == block)
-                same[own, uid[own] & ((1 << ROW_BITS) - 1)] = False
-                i, j = _best(score, same & (score >= least[:, None]), k)
-                zero = np.zeros(len(i), np.int64)
-                yield [uid[i], anchor_id[i], zero, zero, zero, ids[j], score[i, j]]
-                continue
-            for p, (lo, hi) in enumerate(zip(lowest.T, highest.T)):
-                i, j = _best(score, ~same & (score >= lo[:, None]) & (score <= hi[:, None]), k)
+    def best(block: int, ids: np.ndarray, labels: np.ndarray, y: np.ndarray, own: np.ndarray, asked: tuple[np.ndarray, ...],
+             low: np.ndarray, high: np.ndarray) -> Iterator[list[np.ndarray]]:
+        for at in range(0, len(own), SLICE):
+            rows = own[at:at + SLICE]
+            uid, anchor_id, label, x, _, windows = (c[rows] for c in asked)
+            allowed = (label[:, None] == labels[None, :]) ^ bool(windows.shape[1])
+            if not windows.shape[1]:
+                windows = np.zeros((len(rows), 1, 3), np.int64)
+                itself = np.flatnonzero(uid >> ROW_BITS == block)
+                allowed[itself, uid[itself] & ((1 << ROW_BITS) - 1)] = False
+            least = low[rows]
+            for p, (i, j, score) in enumerate(_best(_scores(x, y), allowed, least, high[rows], k)):
                 w = windows[i, p]
-                yield [uid[i], anchor_id[i], w[:, 0], w[:, 1], w[:, 2], ids[j], score[i, j]]
+                yield [uid[i], anchor_id[i], w[:, 0], w[:, 1], w[:, 2], ids[j], score]
+            low[rows] = least       # later blocks of the tile need not show less than the k best of this one
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, held = None, {}
@@ -429,10 +438,14 @@ def read(listed: DataFrame, table: DataFrame, shape: Frame, k: int, slices: int
                     continue
                 uid, at = np.unique(np.frombuffer(values[9], np.int64), return_inverse=True)
                 asked = _arrays([uid.tobytes(), *values[10:]], dims)
-                asked += _limits(asked[5])
+                least, windows = asked[4:]
+                if windows.shape[1]:
+                    low, high = _limits(windows)
+                else:
+                    low, high = least[:, None].copy(), np.full((len(uid), 1), MOST_LONG)
                 lists = np.split(at, np.cumsum(np.frombuffer(n, np.int64))[:-1])
                 found = [f for b, own in zip(np.frombuffer(some, np.int64).tolist(), lists)
-                         for f in best(b, *held[b], tuple(c[own] for c in asked))]
+                         for f in best(b, *held[b], own, asked, low, high)]
                 yield _merged(found, k)
 
     own = table.select(_tile(shape), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), F.lit(0).alias("kind"),

@@ -47,6 +47,28 @@ def test_bounds_hold_every_score():
     assert (low[:, 0] <= score.min(axis=1)).all() and (high[:, 0] >= score.max(axis=1)).all()
 
 
+def test_best_of_each_range_and_what_it_asks_of_later_blocks():
+    rng = np.random.default_rng(5)
+    scores, allowed = rng.integers(-9, 10, (30, 40)), rng.random((30, 40)) < 0.6
+    low, high = rng.integers(-12, 8, (30, 4)), rng.integers(-8, 12, (30, 4))
+    low[:, 3], high[:, 3] = negatives.NONE, negatives.MOST_LONG
+    raised = low.copy()
+    for p, (i, j, score) in enumerate(negatives._best(scores, allowed, raised, high, 3)):
+        for row in range(30):
+            held = sorted((-s, c) for c, s in enumerate(scores[row].tolist())
+                          if allowed[row, c] and low[row, p] <= s <= high[row, p])[:3]
+            assert [(-s, c) for s, c in zip(score[i == row].tolist(), j[i == row].tolist())] == held
+            assert raised[row, p] == (-held[2][0] if len(held) == 3 else low[row, p])
+
+
+@pytest.mark.parametrize("most", [300, 4000, 1 << 20, 1 << 26])
+def test_scores_are_whole_numbers_of_any_size(most):
+    rng = np.random.default_rng(6)
+    a, x = rng.integers(-most, most + 1, (5, 64)).astype(np.int32), rng.integers(-most, most + 1, (9, 64)).astype(np.int32)
+    a[0], x[0] = most, most
+    assert (negatives._scores(a, x) == a.astype(object) @ x.T.astype(object)).all()
+
+
 def brute_negatives(rows, every=50):
     """Rows as lists of (id, whole numbers, label); every row is a row of its own."""
     out = []
